@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, quality, url_rules
+from . import langid, line_dedup, mixing, quality, token_count, token_store, url_rules
+from .encoding import default_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +18,22 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.document_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(_table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), epochs=1.5, cap=2.0)
 
 
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.encode_documents(_table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"), end_id=0)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(_table(spark, sf_dir, "pages"), url_rules.RULES, default="allow")
 
@@ -30,7 +43,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op6_mix_sources, op9_url_filter, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op5_language_id, op6_mix_sources, op8_token_store, op9_url_filter, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
