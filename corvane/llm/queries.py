@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, line_dedup, mixing, quality, token_count, token_store, url_rules
+from . import langid, line_dedup, mixing, near_dedup, quality, token_count, token_store, url_rules
 from .encoding import default_path
 
 
@@ -18,6 +18,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.document_tokens(_table(spark, sf_dir, "documents"))
 
@@ -43,8 +47,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_token_counts, op5_language_id, op6_mix_sources, op8_token_store, op9_url_filter, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_token_counts, op5_language_id, op6_mix_sources, op8_token_store, op9_url_filter, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.ORACLE, "op6_mix_sources": mixing.ORACLE, "op9_url_filter": url_rules.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
+    return {"op1_quality_rules": quality.ORACLE, "op2_near_dedup": near_dedup.ORACLE, "op6_mix_sources": mixing.ORACLE, "op9_url_filter": url_rules.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
