@@ -3,6 +3,7 @@ see, staged Parquet tables and hashing of words."""
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 import tempfile
@@ -73,9 +74,16 @@ def delete(spark: SparkSession, path: str) -> None:
 def staged(df: DataFrame, path: str) -> DataFrame:
     """df, written to path as Parquet and read again: lost executors cost no recomputation beyond it."""
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    tidy(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a scratch URI, on a driver or an executor."""
     if uri.startswith("/"):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, line_dedup, mixing, near_dedup, quality, token_count, token_store, url_rules
+from . import decontam, langid, line_dedup, mixing, near_dedup, quality, substring, token_count, token_store, url_rules
 from .encoding import default_path
 
 
@@ -26,6 +26,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.document_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), epochs=1.5, cap=2.0)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_documents(_table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"), end_id=0)
 
@@ -47,8 +55,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_token_counts, op5_language_id, op6_mix_sources, op8_token_store, op9_url_filter, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_token_counts, op4_decontamination, op5_language_id, op6_mix_sources, op7_substring_dedup, op8_token_store, op9_url_filter, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.ORACLE, "op2_near_dedup": near_dedup.ORACLE, "op6_mix_sources": mixing.ORACLE, "op9_url_filter": url_rules.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
+    return {"op1_quality_rules": quality.ORACLE, "op2_near_dedup": near_dedup.ORACLE, "op6_mix_sources": mixing.ORACLE, "op7_substring_dedup": substring.ORACLE, "op9_url_filter": url_rules.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
