@@ -43,6 +43,10 @@ def scratch_root(spark: SparkSession) -> str:
     return scratch_root(spark)
 
 
+def unique() -> str:
+    return uuid.uuid4().hex
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Bounds the rows of the session's Arrow batches."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
@@ -52,7 +56,7 @@ def bound_batches(spark: SparkSession) -> None:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder's URI below the shared root."""
     bound_batches(spark)
-    path = f"{scratch_root(spark)}/corvane-{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/corvane-{name}-{unique()}"
     _made.append(path)
     return path
 

@@ -150,37 +150,37 @@ def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each row of docs (doc_id, text): doc_id, item_ids (sorted), n_items, contaminated. An item of benchmark
-    (item_id, text) is in a document whose text holds it, or SEGMENT characters of it in a row, within one edit for each
-    EACH_EDIT characters, after `normal` on both sides. Items of under Q characters must stand as whole words.
-
-    A null or empty text holds no item; a null or empty item is in no text; an item without an id is -1. Items of one id are one item. Repeated
-    rows are judged one by one, a null doc_id stays null. No items: nothing is contaminated. Extra columns are ignored.
-
-    The benchmark is a query set: a block of it, of bounded size, is indexed and sent to all tasks, and documents stay where they are."""
+def flag(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """docs with item_ids, the sorted ids of the items that each text holds, after its columns. docs must have no column of that name."""
     spark = docs.sparkSession
     bound_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    at = docs.columns.index("text")
+    out = docs.withColumn("item_ids", F.array().cast("array<long>"))
+    schema = out.schema
 
     def finder(index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                found = [index.value.leaks(normal(t)) for t in b.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], [b.schema.names[0], "item_ids"])
+                texts, before = b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()
+                found = [sorted({*old, *index.value.leaks(normal(t))}) for t, old in zip(texts, before, strict=True)]
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.list_(pa.int64()))], b.schema.names)
 
         return run
 
-    indexes = [spark.sparkContext.broadcast(Index.of(block)) for block in blocks_of(benchmark)]
-    if len(indexes) <= 1:
-        index = indexes[0] if indexes else spark.sparkContext.broadcast(Index.of([]))
-        out = docs.mapInArrow(finder(index), "doc_id long, item_ids array<long>")
-    else:
-        named = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
-        each = [named.select("rid", "text").mapInArrow(finder(i), "rid long, item_ids array<long>").where(F.size("item_ids") > 0) for i in indexes]
-        union = each[0]
-        for e in each[1:]:
-            union = union.unionAll(e)
-        found = union.select("rid", F.explode("item_ids").alias("i")).groupBy("rid").agg(F.array_sort(F.collect_set("i")).alias("item_ids"))
-        out = named.select("doc_id", "rid").join(found, "rid", "left").select("doc_id", F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"))
+    # One pass over a batch of documents for each block.
+    for block in blocks_of(benchmark):
+        out = out.mapInArrow(finder(spark.sparkContext.broadcast(Index.of(block))), schema)
+    return out
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row for each row of docs (doc_id, text): doc_id, item_ids (sorted), n_items, contaminated. An item of benchmark
+    (item_id, text) is in a document whose text holds it, or SEGMENT characters of it in a row, within one edit for each
+    EACH_EDIT characters, after `normal` on both sides. Items of under Q characters must stand as whole words.
+
+    A null or empty text holds no item; a null or empty item is in no text; an item without an id is -1. Items of one id are one item. Repeated
+    rows are judged one by one, a null doc_id stays null. No items: nothing is contaminated. Extra columns are ignored.
+
+    The benchmark is a query set: a block of it, of bounded size, is indexed and sent to all tasks, and documents stay where they are."""
+    out = flag(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
     return out.select("doc_id", "item_ids", F.size("item_ids").cast("long").alias("n_items"), (F.size("item_ids") > 0).alias("contaminated"))

@@ -30,6 +30,10 @@ def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, cap
     return out
 
 
+def _hash():
+    return F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")).cast("binary")), 1, DIGITS * LEVELS)
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), epochs: float = 1.5, cap: float = 2.0) -> DataFrame:
     """One row for each row of docs (doc_id, text, source): doc_id, size, source_size, target, copies, taken.
 
@@ -40,12 +44,27 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), epochs: f
     A null text has size 0. A null doc_id is hashed by its text. Rows of one doc_id share a hash and are taken together.
     A null source is a source of its own. No documents give no rows. Sources are bounded by MAX_SOURCES (an error beyond).
     Sizes and hashes are staged once; each level is a sum by (source, next digits), partly summed before its shuffle."""
+    rows, final = _thresholds(docs, weights, epochs, cap)
+    out = rows.join(F.broadcast(final), rows["source"].eqNullSafe(final["src"]))
+    copies = F.col("full") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0)
+    return out.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), epochs: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """The rows of docs, with all their columns, as often as mix_sources takes them. Documents of size 0 count as the others.
+    docs must have no columns named src, source_size, target, full or threshold."""
+    _, final = _thresholds(docs, weights, epochs, cap)
+    out = docs.join(F.broadcast(final), docs["source"].eqNullSafe(final["src"]))
+    copies = F.col("full") + F.when(_hash() < F.col("threshold"), 1).otherwise(0)
+    return out.withColumn("src", F.explode(F.array_repeat(F.lit(""), copies.cast("int")))).select(*docs.columns)
+
+
+def _thresholds(docs: DataFrame, weights: Sequence[float], epochs: float, cap: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, source, size, h) of docs, staged, and a row for each source: src, source_size, target, full, threshold."""
     spark = docs.sparkSession
     at = scratch(spark, "mixing")
-    h = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")).cast("binary"))
-    rows = staged(
-        docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0).cast("long")).alias("size"), F.substring(h, 1, DIGITS * LEVELS).alias("h")), f"{at}/sizes"
-    )
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
+    rows = staged(docs.select("doc_id", "source", size.alias("size"), _hash().alias("h")), f"{at}/sizes")
     totals = rows.groupBy("source").agg(F.sum("size").alias("s")).limit(MAX_SOURCES + 1).collect()
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -79,9 +98,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), epochs: f
         table = spark.createDataFrame(plan, columns)
     # A source without a boundary has room for all; otherwise hashes below the boundary are in. At the last level the boundary bucket is one hash.
     final = spark.createDataFrame([(a, b, c, d, p if p else "g") for a, b, c, d, _, p in plan], "src string, source_size long, target double, full int, threshold string")
-    out = rows.join(F.broadcast(final), rows["source"].eqNullSafe(final["src"]))
-    copies = F.col("full") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0)
-    return out.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return rows, final
+
 
 
 ORACLE = r"""
