@@ -19,6 +19,8 @@ from .common import ASCII_LOWER, filesystem, mix, scratch, staged, table_bytes
 STRIP = " \t\n\v\f\r"
 #: Bits for each expected line, hash functions, the most bits a filter may have (32 MB), and bits in a slice of a filter.
 BITS_EACH, PROBES, MOST_BITS, SLICE_BITS = 12, 4, 1 << 28, 1 << 20
+#: Bytes in an expected line. Shorter ones fill the filters more, so that more lines are suspected; the result stays exact.
+LINE_BYTES = 256
 
 
 def line_key(line: str) -> str:
@@ -147,8 +149,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep_fir
     at = scratch(spark, "lines")
     docs = docs.select("doc_id", "text").withColumn("rid", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("long"))
     n_rows, n_bytes = table_bytes(docs, "text")
-    n_lines = docs.agg(F.coalesce(F.sum(F.length("text") - F.length(F.translate("text", "\n", "")) + 1), F.lit(0))).first()[0]
-    bits = filter_bits(int(n_lines))
+    bits = filter_bits(n_rows + n_bytes // LINE_BYTES)
     build_filters(docs, bits, min_chars, f"{at}/filter")
 
     def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -177,7 +178,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep_fir
     if n_rows and first.groupBy("rid").count().where("count > 1").limit(1).count():
         occ = occ.groupBy("rid", "key").agg(F.min("place").alias("place"))
     counts = occ.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "place")).alias("first")).where(F.col("n") >= min_docs)
-    lost = occ.join(counts, "key").select("rid", "key", F.when((F.col("rid") == F.col("first.rid")) & F.lit(keep_first), F.col("first.place")).alias("spare"))
+    # Written first, so that a hot key's rows can be split between the tasks of the join.
+    lost = occ.join(staged(counts, f"{at}/counts").hint("merge"), "key").select("rid", "key", F.when((F.col("rid") == F.col("first.rid")) & F.lit(keep_first), F.col("first.place")).alias("spare"))
     per_doc = staged(lost.groupBy("rid").agg(F.collect_list(F.struct("key", F.coalesce("spare", F.lit(-1)).alias("spare"))).alias("lost")), f"{at}/lost")
 
     def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -200,10 +202,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep_fir
             yield clean(batch)
 
     kinds = "doc_id long, n_lines long, n_dropped long, kept_sha256 string, kept_text string"
-    hit = docs.join(per_doc, "rid").select(F.col("doc_id").cast("long"), "text", "lost").mapInArrow(cleaned, kinds)
-    rest = first.join(per_doc.select("rid"), "rid", "left_anti")
+    hit = docs.join(per_doc.hint("merge"), "rid").select(F.col("doc_id").cast("long"), "text", "lost").mapInArrow(cleaned, kinds)
+    rest = first.join(per_doc.select("rid").hint("merge"), "rid", "left_anti")
     if with_text:
-        whole = docs.join(per_doc.select("rid"), "rid", "left_anti").select(F.col("doc_id").cast("long"), (F.length(F.coalesce("text", F.lit(""))) - F.length(F.translate(F.coalesce("text", F.lit("")), "\n", "")) + 1).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), F.coalesce("text", F.lit("")).alias("kept_text"))
+        whole = docs.join(per_doc.select("rid").hint("merge"), "rid", "left_anti").select(F.col("doc_id").cast("long"), (F.length(F.coalesce("text", F.lit(""))) - F.length(F.translate(F.coalesce("text", F.lit("")), "\n", "")) + 1).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), F.coalesce("text", F.lit("")).alias("kept_text"))
         return hit.unionByName(whole)
     return hit.drop("kept_text").unionByName(rest.select("doc_id", "n_lines", F.lit(0).cast("long").alias("n_dropped"), F.col("sha").alias("kept_sha256")))
 
