@@ -47,7 +47,7 @@ def parse(logs: DataFrame, text: str = "value", keys: tuple[str, ...] = ()) -> D
     """A row for each job of each log: keys, ordinal, name, start_time, end_time (null unless DONE) and the log's fields, all strings."""
     parts = logs.select(*keys, F.posexplode(F.split(text, r"(?=\[\d+:\d+:\d+\] Starting: \S)")).alias("ordinal", "t")).where(F.col("t").rlike("^" + START))
     t, name = F.col("t"), F.regexp_extract("t", START, 2)
-    done = F.regexp_extract(t, F.concat(F.lit(r"\[(\d+:\d+:\d+)\] DONE: \Q"), name, F.lit(r"\E")), F.lit(1))
+    done = F.call_function("regexp_extract", t, F.concat(F.lit(r"\[(\d+:\d+:\d+)\] DONE: \Q"), name, F.lit(r"\E")), F.lit(1))
     fields = [_found(t, rf"│ {label}\s+│\s+{value}").alias(f) for f, label, value in CONFIGURATION]
     fields += [_found(t, rf"║ {label}\s+│\s+{value}").alias(f) for f, label, value in PERFORMANCE]
     fields += [_found(t, pattern).alias(f) for f, pattern in SIZES]

@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane import schemas
 from corvane.functions import signal
 
 #: Chunks in an Arrow batch; a chunk has 640 kB of samples.
@@ -51,7 +50,7 @@ def decoded(files: DataFrame, size: int = signal.CHUNK, rate: int = signal.RATE)
 
 
 def chunks(files: DataFrame) -> DataFrame:
-    return decoded(files).where("reason IS NULL").select(*schemas.CHUNKS.names)
+    return decoded(files).where("reason IS NULL").select("file_path", "chunk_idx", "samples", "start_time", "end_time")
 
 
 def faults(files: DataFrame) -> DataFrame:

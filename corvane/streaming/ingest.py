@@ -27,8 +27,8 @@ def ingest(spark: SparkSession, folder: str, out: str, make: Callable[[], Runner
 
     def batch(df: DataFrame, batch_id: int) -> None:
         rows = infer(df, make, names, k).persist()
-        _write(rows.where("reason IS NULL").select(*schemas.EMBEDDINGS.names), f"{out}/embeddings", batch_id)
-        _write(rows.where("reason IS NULL").select(*schemas.PREDICTIONS.names), f"{out}/predictions", batch_id)
+        _write(rows.where("reason IS NULL").select(*schemas.KEY_NAMES, "embedding"), f"{out}/embeddings", batch_id)
+        _write(rows.where("reason IS NULL").select(*schemas.KEY_NAMES, "topk"), f"{out}/predictions", batch_id)
         _write(rows.where("reason IS NOT NULL").select("file_path", "reason"), f"{out}/faults", batch_id)
         rows.unpersist()
         seen.append(batch_id)
