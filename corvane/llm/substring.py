@@ -56,6 +56,11 @@ def spans(mask: np.ndarray, window: int) -> list[tuple[int, int]]:
     return [(int(a), int(b) + window - 1) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
 
 
+def member(x: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which of x stand in the sorted names, which aren't empty; the cost follows x."""
+    return names[np.minimum(np.searchsorted(names, x), len(names) - 1)] == x
+
+
 def sha(words: list[str]) -> str:
     return hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).hexdigest()
 
@@ -133,7 +138,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
             for text, own, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 c = codes(words_of(text))
                 anchor, _ = anchors(c, window)
-                by.setdefault(p, []).append(gram_codes(c, window)[np.isin(anchor.view(np.int64), np.array(own, np.int64))])
+                by.setdefault(p, []).append(gram_codes(c, window)[member(anchor.view(np.int64), np.sort(np.array(own, np.int64)))])
             for p, parts in by.items():
                 w, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(np.full(len(w), p, np.int32)), pa.array(n.astype(np.int64))], ["w", "p", "n"])
@@ -152,7 +157,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
             numbers = auto.numbers(words)
             numbered.append(numbers)
             if len(words) >= window and len(known):
-                for a, b in spans(np.isin(gram_codes(codes(words), window), known), window):
+                for a, b in spans(member(gram_codes(codes(words), window), known), window):
                     phrases.add(numbers[a:b])
         for phrase in phrases:
             auto.add(phrase)
