@@ -1,4 +1,4 @@
-"""Token ids of whole texts by the tokenizers library, which sees each distinct chunk of text once while a worker remembers it."""
+"""Token ids of whole texts by the tokenizers library, which sees each distinct word once while a worker remembers it."""
 
 from __future__ import annotations
 
@@ -8,19 +8,41 @@ import re
 
 import numpy as np
 
-#: A chunk is a run of spaces and newlines with the run of other characters after it.
-CHUNK_RE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: White space other than space and newline, by the widest definition: such a text is encoded whole.
-OTHER_SPACE_RE = re.compile(r"[^\S \n]")
-REMEMBERED = 250_000
+#: Words that a worker remembers, and texts whose new words are encoded at once.
+REMEMBERED, TOGETHER = 1_200_000, 64
+#: Marks that often end a word, and a word with such an end after a letter.
+MARKS = frozenset(".,;:!?\"')]}%$#&*|-")
+TAIL_RE = re.compile(r"(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([^\w\s]+)")
+
+
+#: White space other than space and newline, by the widest definition.
+OTHER_SPACE = ("\t", "\v", "\f", "\r", *map(chr, range(0x1C, 0x20)), "\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000")
+DOUBLED = ("  ", "\n\n", " \n", "\n ")
+
+
+def regular(t: str) -> bool:
+    """Whether a text's words stand apart by one space or newline each."""
+    return bool(t) and t[-1] != " " and not any(x in t for x in DOUBLED) and not any(x in t for x in OTHER_SPACE)
+
+
+def gaps(found: list) -> list[int]:
+    """The places of None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
 
 
 class Encoder:
     """encode(texts) gives, for each text, the bytes of its ids as little-endian integers of `width` bytes.
 
     A pre-tokenizer that splits by the usual byte-level pattern never joins a character that isn't white space with a
-    following space or newline. So chunks that begin at such a place are encoded on their own with the same ids, and
-    most are remembered. Other tokenizers, and texts with other white space, are encoded whole."""
+    following space or newline. So a word with the one space or newline before it is encoded on its own with the same ids, and
+    most words are remembered. New words are encoded as one text, and parted where an id's text starts with their white space.
+    Other tokenizers, and texts with other white space than single spaces and newlines between words, are encoded whole."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -29,38 +51,87 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
-        self.by_chunk = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        self.by_word = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        vocab = self.tokenizer.get_vocab()
+        self.width = 2 if max(vocab.values()) < 1 << 16 else 4
+        # The byte-level alphabet writes a space as U+0120 and a newline as U+010A.
+        self.starts = {}
+        for white, sign in ((" ", "Ġ"), ("\n", "Ċ")):
+            self.starts[white] = np.zeros(max(vocab.values()) + 1, bool)
+            self.starts[white][[i for t, i in vocab.items() if t.startswith(sign)]] = True
+        #: By word, or newline and word; a word stands for itself after a space. First words of texts have no space.
         self.known: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     @property
     def dtype(self) -> str:
         return f"<u{self.width}"
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, names: list[str], white: str) -> None:
+        """Learns words that follow `white`, as one text."""
+        if names:
+            ids = np.array(self.tokenizer.encode_batch_fast([white + white.join(names)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            starts = (np.flatnonzero(self.starts[white][ids]) * self.width).tolist()
+            data = ids.tobytes()
+            self.known.update((n if white == " " else white + n, data[a:b]) for n, a, b in zip(names, starts, [*starts[1:], len(data)], strict=True))
+
+    def _tail(self, marks: str) -> bytes:
+        if marks not in self.tails:
+            if len(self.tails) > REMEMBERED // 8:
+                self.tails.clear()
+            self.tails[marks] = self._whole([marks])[0]
+        return self.tails[marks]
+
+    def _learn(self, new: set[str]) -> None:
+        """Learns words; marks at the end of one are parted from it first, as they are ids of their own after a letter."""
+        known = self.known
+        parted, words, lines = [], set(), []
+        for w in new:
+            if w[0] == "\n":
+                lines.append(w)
+            elif w[-1] in MARKS and (m := TAIL_RE.fullmatch(w)):
+                parted.append((w, m[1], m[2]))
+                if m[1] not in known:
+                    words.add(m[1])
+            else:
+                words.add(w)
+        self._words(list(words), " ")
+        self._words([w[1:] for w in lines if len(w) > 1], "\n")
+        known.update((w, known[core] + self._tail(marks)) for w, core, marks in parted)
+        if "\n" in new:
+            known["\n"] = self._whole(["\n"])[0]
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        known, first = self.known, self.first
+        parts = [t.replace("\n", " \n").split(" ") if regular(t) else None for t in texts]
+        heads = [p and p.pop(0) for p in parts]
+        new = {h for h in heads if h is not None and h not in first}
+        if new:
+            if len(first) > REMEMBERED // 8:
+                first.clear()
+                new = {h for h in heads if h is not None}
+            first.update(zip(new, self._whole(list(new)), strict=True))
+        if len(known) > REMEMBERED:
+            known.clear()
+        found = [p if p is None else list(map(known.get, p)) for p in parts]
+        holes = [(p, f, gaps(f)) for p, f in zip(parts, found, strict=True) if f and None in f]
+        if holes:
+            self._learn({p[k] for p, _, at in holes for k in at})
+            for p, f, at in holes:
+                for k in at:
+                    f[k] = known[p[k]]
+        return [self._whole([t])[0] if f is None else first[h] + b"".join(f) for t, h, f in zip(texts, heads, found, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_chunk:
+        if not self.by_word:
             return self._whole(texts)
-        out: list[bytes] = []
-        known = self.known
-        for text in texts:
-            if OTHER_SPACE_RE.search(text):
-                out += self._whole([text])
-                continue
-            chunks = CHUNK_RE.findall(text)
-            try:
-                out.append(b"".join([known[c] for c in chunks]))
-            except KeyError:
-                if len(known) > REMEMBERED:
-                    known.clear()
-                new = list({c for c in chunks if c not in known})
-                known.update(zip(new, self._whole(new), strict=True))
-                out.append(b"".join([known[c] for c in chunks]))
-        return out
+        return [data for i in range(0, len(texts), TOGETHER) for data in self._group(texts[i : i + TOGETHER])]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import delete, gram_codes, mix, scratch, shards, staged, table_bytes
+from .common import delete, gram_codes, mix, scratch, shards, staged
 from .encoding import default_path, encoder
 
-#: Ids under the rolling hash, mean chunk (a power of two), longest chunk, bytes of text for one segment of recipes.
-WINDOW, MEAN_CHUNK, MOST_CHUNK, SEGMENT_BYTES = 16, 256, 4096, 512 << 20
+#: Ids under the rolling hash, mean chunk (a power of two), longest chunk, ids of one segment of recipes.
+WINDOW, MEAN_CHUNK, MOST_CHUNK, SEGMENT_IDS = 16, 512, 4096, 1 << 27
 DIGEST = 16
 
 
@@ -53,30 +53,38 @@ def merkle(leaves: list[bytes]) -> bytes:
     return level[0] if level else digest(b"")
 
 
-@lru_cache(maxsize=8192)
-def _zeros(n_bytes: int) -> tuple[int, ...]:
-    """The images of the 32 bits of a CRC under n_bytes zero bytes."""
-    if n_bytes == 0:
-        return tuple(1 << i for i in range(32))
-    if n_bytes == 1:
-        return tuple(zlib.crc32(b"\0", (1 << i) ^ 0xFFFFFFFF) ^ zlib.crc32(b"\0", 0xFFFFFFFF) for i in range(32))
-    half = _zeros(n_bytes // 2)
-    double = tuple(_apply(half, x) for x in half)
-    return tuple(_apply(_zeros(1), x) for x in double) if n_bytes & 1 else double
-
-
-def _apply(matrix: tuple[int, ...], x: int) -> int:
-    out = 0
-    while x:
-        low = x & -x
-        out ^= matrix[low.bit_length() - 1]
-        x ^= low
+def _times(table: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """CRCs after so many zero bytes as the table is for."""
+    return table[0][x & 255] ^ table[1][x >> 8 & 255] ^ table[2][x >> 16 & 255] ^ table[3][x >> 24]
+
+
+@lru_cache(maxsize=1)
+def _shifts() -> list[np.ndarray]:
+    """For 2**k zero bytes, k = 0..40, what each of the four bytes of a CRC becomes."""
+    one = np.array([zlib.crc32(b"\0", i ^ 0xFFFFFFFF) ^ 0xFFFFFFFF for i in range(256)], np.uint32)
+    rows = [one]
+    for k in range(1, 4):
+        rows.append((np.arange(256, dtype=np.uint32) << np.uint32(8 * k - 8)).astype(np.uint32))
+    out = [np.stack(rows)]
+    for _ in range(40):
+        t = out[-1]
+        out.append(np.stack([_times(t, row) for row in t]))
+    return out
+
+
+def crc_shift(crcs: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
+    """What CRC-32s contribute to the CRC of a string that goes on for n_bytes after them."""
+    out, n, k = crcs.astype(np.uint32), n_bytes.astype(np.int64), 0
+    while (n >> k).any():
+        at = np.flatnonzero(n >> k & 1)
+        out[at] = _times(_shifts()[k], out[at])
+        k += 1
     return out
 
 
 def crc_join(a: int, b: int, n_bytes: int) -> int:
     """The CRC-32 of two strings one after the other, from those of each and the second one's length."""
-    return _apply(_zeros(n_bytes), a) ^ b
+    return int(crc_shift(np.array([a], np.uint32), np.array([n_bytes]))[0]) ^ b
 
 
 def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0) -> None:
@@ -90,7 +98,6 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     spark = docs.sparkSession
     at = scratch(spark, "encode")
     tokenizer = tokenizer or default_path()
-    n_rows, n_bytes = table_bytes(docs, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
@@ -121,7 +128,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - n, pa.int64())], [*batch.schema.names, "local_start"])
             upto = int(ends[-1]) if len(ends) else upto
 
-    n_seg = shards(n_bytes + 64 * n_rows, SEGMENT_BYTES, least=8)
+    n_rows, n_ids = made.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    n_seg = shards(n_ids + 16 * n_rows, SEGMENT_IDS, least=8)
     ordered = made.select("doc_id", "root", "n_tokens", "width", "hashes").repartitionByRange(n_seg, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")
     numbered = ordered.mapInArrow(place, "doc_id long, root binary, n_tokens long, width int, hashes array<binary>, local_start long").withColumn("seg", F.spark_partition_id())
     recipes = staged(numbered, f"{path}/recipes")
@@ -183,16 +191,21 @@ def store_digests(spark: SparkSession, path: str) -> DataFrame:
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size, crcs = [], []
-            for root, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if any(p["crc"] is None for p in found) or merkle([p["hash"] for p in found]) != root:
-                    raise ValueError("a document can't be put together from its chunks")
-                crc = 0
-                for p in found:
-                    crc = crc_join(crc, p["crc"], 4 * p["n"])
-                size.append(sum(p["n"] for p in found))
-                crcs.append(crc)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(crcs, pa.int64())], ["root", "n_read", "ids_crc32"])
+            if not b.num_rows:
+                continue
+            lists = b.column(1)
+            hashes, n, crc = (lists.flatten().field(c) for c in ("hash", "n", "crc"))
+            if crc.null_count:
+                raise ValueError("a document lacks a chunk")
+            hashes, n, crc = hashes.to_pylist(), n.to_numpy(), crc.to_numpy()
+            ends = np.cumsum(lists.value_lengths().to_numpy())
+            first = np.concatenate([[0], ends[:-1]])
+            upto = np.cumsum(n)
+            if any(merkle(hashes[x:y]) != root for root, x, y in zip(b.column(0).to_pylist(), first.tolist(), ends.tolist(), strict=True)):
+                raise ValueError("a document can't be put together from its chunks")
+            after = np.repeat(upto[ends - 1], ends - first) - upto
+            crcs = np.bitwise_xor.reduceat(crc_shift(crc, 4 * after), first)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.add.reduceat(n, first)), pa.array(crcs.astype(np.int64))], ["root", "n_read", "ids_crc32"])
 
     built = parts.mapInArrow(rebuild, "root binary, n_read long, ids_crc32 long")
     placed = recipes.select("doc_id", "seg", "local_start", "n_tokens", "root").join(manifest.select("seg", F.col("start").alias("seg_start")), "seg")
