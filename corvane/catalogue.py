@@ -342,11 +342,11 @@ def window_membership(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", M.in_window(h, 5.0, 8.5).alias("morning"), M.in_window(h, 22.0, 1.5).alias("night"))
 
 
-@query("WITH d AS (SELECT event_id, dayofyear(ts)::INT AS day FROM events WHERE dayofyear(ts) <> 3 OR event_id % 4 = 0), f AS (SELECT min(day) AS first_day FROM (SELECT day, count(*) AS c FROM d GROUP BY 1 HAVING c > (SELECT 0.03 * count(*) FROM events))) SELECT event_id, day FROM d, f WHERE day >= coalesce(first_day, day)")
+@query("WITH d AS (SELECT event_id, dayofyear(ts)::INT AS day FROM events WHERE dayofyear(ts) <> 3 OR value > 50), f AS (SELECT min(day) AS first_day FROM (SELECT day, count(*) AS c FROM d GROUP BY 1 HAVING c > (SELECT 0.03 * count(*) FROM events))) SELECT event_id, day FROM d, f WHERE day >= coalesce(first_day, day)")
 def day_sufficiency(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     least = 0.03 * e.count()
-    return E.sufficient_days(e.where("dayofyear(ts) <> 3 OR event_id % 4 = 0"), "ts", least).select("event_id", "day")
+    return E.sufficient_days(e.where("dayofyear(ts) <> 3 OR value > 50"), "ts", least).select("event_id", "day")
 
 
 @query("WITH d AS (SELECT event_id, dayofyear(ts) AS day FROM events) SELECT event_id, round((day - (SELECT min(day) FROM d)) / greatest((SELECT max(day) - min(day) FROM d), 1)::DOUBLE, 6) AS scaled FROM d")
@@ -355,12 +355,12 @@ def day_minmax(spark, sf_dir):
     return E.minmax_scaled(e, "day", "s").select("event_id", r6("s", "scaled"))
 
 
-@query("WITH l AS (SELECT 'v' || vec_id AS file_path, (vec_id % 4)::INT AS chunk_idx, vec_id::DOUBLE AS start_time FROM embeddings), r AS (SELECT 'v' || vec_id AS file_path, (vec_id % 4)::INT AS chunk_idx, vec_id * 2.0::DOUBLE AS start_time, 'species_' || label AS top1 FROM embeddings WHERE vec_id % 3 <> 0) SELECT file_path, chunk_idx, l.start_time, r.start_time AS start_time_pred, top1 FROM l LEFT JOIN r USING (file_path, chunk_idx)")
+@query("WITH l AS (SELECT 'v' || vec_id AS file_path, (vec_id % 4)::INT AS chunk_idx, vec_id::DOUBLE AS start_time FROM embeddings), r AS (SELECT 'v' || vec_id AS file_path, (vec_id % 4)::INT AS chunk_idx, vec_id * 2.0::DOUBLE AS start_time, 'species_' || label AS top1 FROM embeddings WHERE label >= 3) SELECT file_path, chunk_idx, l.start_time, r.start_time AS start_time_pred, top1 FROM l LEFT JOIN r USING (file_path, chunk_idx)")
 def emb_pred_left_join(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     key = [F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("file_path"), (F.col("vec_id") % 4).cast("int").alias("chunk_idx")]
     left = e.select(*key, F.col("vec_id").cast("double").alias("start_time"))
-    right = e.where("vec_id % 3 <> 0").select(*key, (F.col("vec_id") * 2.0).alias("start_time"), F.concat(F.lit("species_"), F.col("label").cast("string")).alias("top1"))
+    right = e.where("label >= 3").select(*key, (F.col("vec_id") * 2.0).alias("start_time"), F.concat(F.lit("species_"), F.col("label").cast("string")).alias("top1"))
     return joins.left_with_suffix(left, right, ["file_path", "chunk_idx"])
 
 
@@ -526,9 +526,9 @@ def best_config(spark, sf_dir):
     return stats.best_by(m, ["o_orderpriority"], "throughput", "workers")
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 = 0")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def successful_runs(spark, sf_dir):
-    return stats.successful(table(spark, sf_dir, "orders").withColumn("returncode", F.col("o_orderkey") % 3)).select("o_orderkey", "o_custkey")
+    return stats.successful(table(spark, sf_dir, "orders").withColumn("returncode", F.when(F.col("o_orderstatus") == "F", 0).otherwise(1))).select("o_orderkey", "o_custkey")
 
 
 @query("SELECT o_orderkey, round((o_custkey % 8 + 1) * 3 / 120::DOUBLE * 100, 6) AS cpu_pct, greatest(1, floor(floor((o_custkey % 8 + 1) * 1024 / (160000 * 4 / 1048576.0::DOUBLE * 1.5 * 12)) * 0.8::DOUBLE))::BIGINT AS files_per_group FROM orders")
@@ -538,8 +538,8 @@ def resource_sizing(spark, sf_dir):
 
 
 def logs(spark, sf_dir) -> DataFrame:
-    """A log for each customer number mod 10, with a job for each of some orders, in the launcher's format."""
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 10 = 1").select("o_orderkey", (F.col("o_custkey") % 10).alias("log"))
+    """A log for each customer, with a job for each order, in the launcher's format."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("log"))
     k = F.col("o_orderkey")
     t = F.concat(
         F.format_string("[%02d:00:00] Starting: site-%d\n│ Total Files         │ %,d files\n│ Batch Size          │ %d\n│ RAM Budget          │ %.1f GB\n", (k % 24).cast("int"), k, k * 7, (k % 4 + 1).cast("int"), (k % 9).cast("double")),
@@ -549,7 +549,7 @@ def logs(spark, sf_dir) -> DataFrame:
     return o.select("log", "o_orderkey", t.alias("t")).groupBy("log").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "t"))), lambda x: x["t"]), "").alias("value"))
 
 
-JOBS = "WITH j AS (SELECT (o_custkey % 10)::INT AS log, o_orderkey AS k, (row_number() OVER (PARTITION BY o_custkey % 10 ORDER BY o_orderkey) - 1)::INT AS pos FROM orders WHERE o_orderkey % 10 = 1)"
+JOBS = "WITH j AS (SELECT o_custkey::INT AS log, o_orderkey AS k, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1)::INT AS pos FROM orders)"
 
 
 @query(f"{JOBS} SELECT log, 'site-' || k AS name, printf('%02d:00:00', k % 24) AS start_time, CASE WHEN k % 3 <> 0 THEN printf('%02d:45:00', k % 24) END AS end_time, (k * 7)::VARCHAR AS total_files, (k * 7)::VARCHAR AS files_processed, printf('%.1f', (k % 1000)::DOUBLE) AS running_time_s, printf('%.2f', (k % 50)::DOUBLE + 0.25) AS throughput_files_sec, (k % 4 + 1)::VARCHAR AS batch_size, printf('%.1f', (k % 9)::DOUBLE) AS ram_budget_gb, CASE WHEN k % 3 <> 0 THEN printf('%.1f', (k % 77)::DOUBLE) END AS predictions_mb FROM j")
@@ -603,17 +603,17 @@ def union_files(spark, sf_dir):
     return s.where("site = 'A4'").unionByName(s.where("site = 'A40'"), allowMissingColumns=True).groupBy("site").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT o_orderkey AS file_path FROM orders WHERE o_orderkey % 2 = 0 UNION SELECT l_orderkey FROM lineitem WHERE l_linenumber = 1")
+@query("SELECT o_orderkey AS file_path FROM orders WHERE o_orderstatus = 'F' UNION SELECT l_orderkey FROM lineitem WHERE l_linenumber = 1")
 def processed_union(spark, sf_dir):
-    a = table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("file_path"))
+    a = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("file_path"))
     return a.union(table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select("l_orderkey")).distinct()
 
 
-@query("SELECT coalesce(avg(ceil(len(embedding) / 10.0 / 5)), 12) AS mean_chunks, coalesce((SELECT avg(ceil(len(embedding) / 10.0 / 5)) FROM embeddings WHERE vec_id < 0), 12)::DOUBLE AS default_chunks FROM embeddings")
+@query("SELECT coalesce(avg(ceil(len(embedding) / 10.0 / 5)), 12) AS mean_chunks, coalesce((SELECT avg(ceil(len(embedding) / 10.0 / 5)) FROM embeddings WHERE label < 0), 12)::DOUBLE AS default_chunks FROM embeddings")
 def mean_chunks(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     d = M.mean_chunks(F.size("embedding") / 10.0)
-    return e.agg(d.alias("mean_chunks")).crossJoin(e.where("vec_id < 0").agg(d.alias("default_chunks")))
+    return e.agg(d.alias("mean_chunks")).crossJoin(e.where("label < 0").agg(d.alias("default_chunks")))
 
 
 @query(f"WITH {V}, u AS (SELECT unnest(x) AS a FROM v) SELECT round(quantile_cont(a, 0.05), 6) AS low, round(quantile_cont(a, 0.99), 6) AS high FROM u")
