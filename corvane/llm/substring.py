@@ -143,9 +143,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
                 w, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(np.full(len(w), p, np.int32)), pa.array(n.astype(np.int64))], ["w", "p", "n"])
 
-    seen = found.repartition("p").select("text", "hits", "p").mapInArrow(windows, "w long, p int, n long")
+    seen = found.select("text", "hits", "p").mapInArrow(windows, "w long, p int, n long")
     recurring = seen.groupBy("w").agg(F.sum("n").alias("n"), F.collect_set("p").alias("ps")).where("n > 1")
-    routed = recurring.select("w", F.explode("ps").alias("p"))
+    # Written, so that the counts' shuffle is gone before the texts are dealt to their shards.
+    routed = staged(recurring.select("w", F.explode("ps").alias("p")), f"{at}/routed")
 
     def clean(left: pa.Table, right: pa.Table) -> pa.Table:
         codes, auto = WordCodes(), PhraseAutomaton()
