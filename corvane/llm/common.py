@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ASCII_LOWER = str.maketrans(UPPER, LOWER)
+_LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: Rows in an Arrow batch; long texts make the default of 10,000 rows too large for a Python worker.
 BATCH_ROWS = 2_000
 
@@ -117,24 +117,37 @@ def words_of(text: str | None) -> list[str]:
     return WORD_RE.findall(text) if text else []
 
 
+def ascii_lower(text: str) -> str:
+    """text with A-Z lower-cased."""
+    return text.encode("utf-8", "surrogatepass").translate(_LOWERED).decode("utf-8", "surrogatepass")
+
+
+def gaps(found: list) -> list[int]:
+    """The places of None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 class WordCodes:
-    """64-bit codes of words, with a bounded memory of the latest words."""
+    """64-bit codes of words, with a bounded memory of words."""
 
-    def __init__(self, bound: int = 300_000):
+    def __init__(self, bound: int = 500_000):
         self.bound, self.known = bound, {}
 
     def __call__(self, words: list[str]) -> np.ndarray:
         known = self.known
         if len(known) > self.bound:
             known.clear()
-        try:
-            return np.array([known[w] for w in words], dtype=np.uint64)
-        except KeyError:
-            digest = xxhash.xxh3_64_intdigest
-            for w in words:
-                if w not in known:
-                    known[w] = digest(w.encode("utf-8", "surrogatepass"))
-            return np.array([known[w] for w in words], dtype=np.uint64)
+        found = list(map(known.get, words))
+        for k in gaps(found):
+            w = words[k]
+            found[k] = known[w] = xxhash.xxh3_64_digest(w.encode("utf-8", "surrogatepass"))
+        return np.frombuffer(b"".join(found), ">u8").astype(np.uint64)
 
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

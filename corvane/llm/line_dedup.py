@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, filesystem, mix, scratch, staged, table_bytes
+from .common import ascii_lower, filesystem, mix, scratch, staged, table_bytes
 
 STRIP = " \t\n\v\f\r"
 #: Bits for each expected line, hash functions, the most bits a filter may have (32 MB), and bits in a slice of a filter.
@@ -24,7 +24,7 @@ LINE_BYTES = 256
 
 
 def line_key(line: str) -> str:
-    return line.strip(STRIP).translate(ASCII_LOWER)
+    return ascii_lower(line.strip(STRIP))
 
 
 def key_hash(key: str) -> int:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, WordCodes, gram_codes, mix, scratch, staged, words_of
+from .common import WordCodes, ascii_lower, gram_codes, mix, scratch, staged, words_of
 from .graph import components
 
 #: Words in a shingle; links need 100 * intersection >= SIMILAR * union.
@@ -23,17 +23,17 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, MOST = 1.02, 20.0, (1 << 16) - 1
 #: A pair goes on to its full sets unless the best likelihood from SIMILAR upwards lies SLACK below the best of all.
 SLACK = 14.0
-#: Registers of a fingerprint, and how many of them a linked pair shares at least (5.3 standard deviations below the mean).
-PRINT, PRINT_LEAST = 48, 20
-#: Members of a block in which a bucket's rows are compared.
-BLOCK = 128
+#: Equal registers that a linked pair has at least (5.3 standard deviations below the mean of a pair at the threshold).
+LEAST_SAME = 90
+#: Nodes of a block in which a group is compared by sketches, and of one in which a dense group is compared by full sets.
+BLOCK, DENSE_BLOCK = 128, 512
 
-_FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_FACTORS = (mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def shingles(text: str | None, codes: WordCodes) -> np.ndarray:
     """The sorted distinct 64-bit codes of a text's shingles of WIDTH words; a shorter text is one shingle."""
-    words = words_of(text.translate(ASCII_LOWER)) if text else []
+    words = words_of(ascii_lower(text)) if text else []
     if not words:
         return np.empty(0, np.uint64)
     return np.unique(gram_codes(codes(words), min(WIDTH, len(words))))
@@ -45,10 +45,10 @@ def set_digest(codes: np.ndarray) -> bytes:
 
 def registers(codes: np.ndarray) -> np.ndarray:
     """The SetSketch of a set that isn't empty. Sketches merge by their maximum."""
-    least = np.full(REGISTERS, np.iinfo(np.uint64).max)
-    for i in range(0, len(codes), 512):
-        np.minimum(least, np.multiply.outer(codes[i : i + 512], _FACTORS).min(axis=0), out=least)
-    u = (least.astype(np.float64) + 0.5) / 2.0**64
+    x, least = (codes >> np.uint64(32)).astype(np.uint32), np.full(REGISTERS, np.iinfo(np.uint32).max)
+    for i in range(0, len(x), 1024):
+        np.minimum(least, np.multiply.outer(x[i : i + 1024], _FACTORS).min(axis=0), out=least)
+    u = (least.astype(np.float64) + 0.5) / 2.0**32
     h = -np.log1p(-u)
     return np.clip(np.floor(1.0 - np.log(h / RATE) / np.log(BASE)), 0, MOST).astype(np.uint16)
 
@@ -158,44 +158,124 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, path: str) -> DataFrame:
     return staged(joined.mapInArrow(run, "u long, v long").distinct(), f"{path}/links")
 
 
-def _crossing(rows: DataFrame, nodes: DataFrame, best_only: bool) -> DataFrame:
-    """Pairs of nodes that share a bucket, lie in different components and have fingerprints near enough.
+def _groups(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, nid, lab) of the nodes that met one centre, for centres whose nodes lie in different components."""
+    rows = met.select(F.col("center").alias("key"), "nid").distinct()
+    rows = rows.join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("key", "nid", F.coalesce("root", "nid").alias("lab"))
+    # Two nodes of one group are a node and its centre, which have been compared.
+    several = rows.groupBy("key").agg(F.min("lab").alias("a"), F.max("lab").alias("b"), F.count(F.lit(1)).alias("c")).where("a <> b AND c > 2").select("key")
+    return rows.join(several, "key", "left_semi")
 
-    rows: (key, nid, lab). A bucket's rows are dealt into blocks of about BLOCK: a component with more rows than that has
-    blocks of its own, the others share blocks. Pairs of blocks are compared as arrays, and two blocks of one component aren't
-    compared at all. So a large group costs its own size times what else is in its buckets. With best_only each pair of
-    blocks gives only the nearest pair of each two components."""
+
+def _block_pairs(rows: DataFrame, size: int) -> DataFrame:
+    """(key, a, b): pairs of blocks of a group's rows (key, nid, lab, n, load), as lists of structs.
+
+    A component with more than `size` rows in a group has blocks of its own, the others share blocks. Two blocks of one component make no
+    pair. So a large component costs its size times what else is in its groups."""
     per_lab = rows.groupBy("key", "lab").agg(F.count(F.lit(1)).alias("c"))
-    big = F.col("c") > BLOCK
-    pooled = per_lab.groupBy("key").agg(F.sum(F.when(~big, F.col("c")).otherwise(0)).alias("pool"), F.count(F.lit(1)).alias("labs")).where("labs > 1")
-    dealt = rows.join(per_lab, ["key", "lab"]).join(pooled, "key")
-    own = F.xxhash64("lab", F.pmod(F.xxhash64("nid"), F.ceil(F.col("c") / BLOCK)))
-    shared = F.pmod(F.xxhash64("lab"), F.ceil(F.col("pool") / BLOCK))
-    dealt = dealt.select("key", "nid", "lab", F.when(big, own).otherwise(shared).alias("blk"), F.when(big, F.col("lab")).alias("one"))
-    prints = nodes.select("nid", F.substring("regs", 1, 2 * PRINT).alias("print"))
-    blocks = dealt.join(prints, "nid").groupBy("key", "blk").agg(F.min("one").alias("one"), F.collect_list("nid").alias("ids"), F.collect_list("lab").alias("labs"), F.collect_list("print").alias("prints"))
-    a = blocks.select("key", *[F.col(c).alias(f"a_{c}") for c in ("blk", "one", "ids", "labs", "prints")])
-    b = blocks.select("key", *[F.col(c).alias(f"b_{c}") for c in ("blk", "one", "ids", "labs", "prints")])
-    met = a.join(b, "key").where("a_blk <= b_blk AND NOT (a_one IS NOT NULL AND b_one IS NOT NULL AND a_one = b_one)").select("a_ids", "a_labs", "a_prints", "b_ids", "b_labs", "b_prints")
+    big = F.col("c") > size
+    pool = per_lab.groupBy("key").agg(F.sum(F.when(~big, F.col("c")).otherwise(0)).alias("pool"))
+    dealt = rows.join(per_lab, ["key", "lab"]).join(pool, "key")
+    own = F.xxhash64("lab", F.pmod(F.xxhash64("nid"), F.ceil(F.col("c") / size)))
+    shared = F.pmod(F.xxhash64("lab"), F.ceil(F.col("pool") / size))
+    dealt = dealt.select("key", F.when(big, own).otherwise(shared).alias("blk"), F.when(big, F.col("lab")).alias("one"), F.struct("nid", "lab", "n", "load").alias("m"))
+    blocks = dealt.groupBy("key", "blk").agg(F.min("one").alias("one"), F.collect_list("m").alias("ms"))
+    a = blocks.select("key", *[F.col(c).alias(f"a_{c}") for c in ("blk", "one", "ms")])
+    b = blocks.select("key", *[F.col(c).alias(f"b_{c}") for c in ("blk", "one", "ms")])
+    return a.join(b, "key").where("a_blk <= b_blk AND NOT (a_one IS NOT NULL AND b_one IS NOT NULL AND a_one = b_one)").select("key", F.col("a_ms").alias("a"), F.col("b_ms").alias("b"))
+
+
+def _columns(block: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    return np.array([m["nid"] for m in block], np.int64), np.array([m["lab"] for m in block], np.int64), np.array([m["n"] for m in block], float), [m["load"] for m in block]
+
+
+def _crossing(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, u, v): pairs of nodes of one group that lie in different components and whose sketches allow a link. Where a pair of blocks has
+    more pairs than twice its nodes, it gives none but a row with null u and v, which marks its group as dense."""
+    loaded = rows.join(nodes.select("nid", "n", F.col("regs").alias("load")), "nid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            us, vs = [], []
             for row in batch.to_pylist():
-                ai, al, bi, bl = (np.array(row[x], np.int64) for x in ("a_ids", "a_labs", "b_ids", "b_labs"))
-                ap, bp = (np.frombuffer(b"".join(row[x]), np.uint16).reshape(-1, PRINT) for x in ("a_prints", "b_prints"))
+                (ai, al, an, ar), (bi, bl, bn, br) = _columns(row["a"]), _columns(row["b"])
+                ar, br = (np.frombuffer(b"".join(x), np.uint16).reshape(-1, REGISTERS) for x in (ar, br))
+                us, vs, n = [], [], 0
                 for i in range(len(ai)):
-                    near = (bp == ap[i]).sum(axis=1)
-                    at = np.flatnonzero((near >= PRINT_LEAST) & (bl != al[i]))
-                    if best_only and len(at):
-                        at = at[np.lexsort((bi[at], -near[at]))]
-                        at = at[np.unique(bl[at], return_index=True)[1]]
+                    at = np.flatnonzero(((br == ar[i]).sum(axis=1) >= LEAST_SAME) & (bl != al[i]))
+                    if len(at):
+                        at = at[likely(np.full(len(at), an[i]), bn[at], np.broadcast_to(ar[i], (len(at), REGISTERS)), br[at])]
                     us.append(np.maximum(ai[i], bi[at]))
                     vs.append(np.minimum(ai[i], bi[at]))
-            if us:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
+                    n += len(at)
+                    if n > 2 * (len(ai) + len(bi)):
+                        break
+                if n > 2 * (len(ai) + len(bi)):
+                    yield pa.RecordBatch.from_arrays([pa.array([row["key"]], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["key", "u", "v"])
+                elif n:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row["key"])), pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["key", "u", "v"])
+
+    return _block_pairs(loaded, BLOCK).mapInArrow(run, "key long, u long, v long")
+
+
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """The sizes of the intersections of each two of the sorted sets of a and b, by products of `width` columns at a time."""
+    names = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    out = np.zeros((len(a), len(b)), np.float32)
+
+    def cells(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(names, flat), len(names) - 1)
+        ok = names[at] == flat
+        order = np.argsort(at[ok], kind="stable")
+        return at[ok][order], row[ok][order]
+
+    if len(names):
+        (ac, ar), (bc, br) = cells(a), cells(b)
+        for first in range(0, len(names), width):
+            w = min(width, len(names) - first)
+            x, y = np.zeros((len(a), w), np.float32), np.zeros((len(b), w), np.float32)
+            for m, c, r in ((x, ac, ar), (y, bc, br)):
+                lo, hi = np.searchsorted(c, [first, first + w])
+                m[r[lo:hi], c[lo:hi] - first] = 1
+            out += x @ y.T
+    return out
+
 
-    return met.mapInArrow(run, "u long, v long").distinct()
+def _dense_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (u, v) of dense groups (key, nid, lab), enough of them to join all components that links join. Full sets are compared as
+    matrices, block by block, so that the many pairs that are nearly similar never become rows."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = WordCodes()
+        for b in batches:
+            own = [shingles(t, codes) for t in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([len(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], ["key", "nid", "lab", "n", "load"])
+
+    texts = docs.join(rows.select(F.col("nid").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").select(F.col("doc_id").alias("nid"), "text")
+    loaded = rows.hint("merge").join(texts, "nid").select("key", "nid", "lab", "text").mapInArrow(sets, "key long, nid long, lab long, n long, load binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                (ai, al, an, ar), (bi, bl, bn, br) = _columns(row["a"]), _columns(row["b"])
+                both = shared_counts([np.frombuffer(x, np.uint64) for x in ar], [np.frombuffer(x, np.uint64) for x in br])
+                ok = (100 * both >= SIMILAR * (an[:, None] + bn[None, :] - both)) & (al[:, None] != bl[None, :])
+                root: dict[int, int] = {}
+                us, vs = [], []
+                for i, j in np.argwhere(ok):
+                    x, y = int(al[i]), int(bl[j])
+                    while root.get(x, x) != x:
+                        x = root[x]
+                    while root.get(y, y) != y:
+                        y = root[y]
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        us.append(max(ai[i], bi[j]))
+                        vs.append(min(ai[i], bi[j]))
+                if us:
+                    yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+    return _block_pairs(loaded, DENSE_BLOCK).mapInArrow(run, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -208,9 +288,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     columns are ignored.
 
     Equal sets are one node from the start, however many documents share them. In each bucket of a band all nodes are
-    compared with the smallest, which costs one pair a node; what that leaves in different components is compared in blocks
-    (see _crossing), first the nearest pair of each two components, then all. So no bucket is cut short and no group is expanded into
-    its pairs. Links and components stay in tables."""
+    compared with the smallest, its centre, which costs one pair a node. What met one centre and is still in different components is
+    compared in blocks of sketches (see _crossing); where nearly similar pairs abound,
+    blocks of full sets are compared as matrices (see _dense_links). So no bucket is cut short and no group is expanded into its
+    pairs. Links and components stay in tables."""
     spark = docs.sparkSession
     at = scratch(spark, "near")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -226,17 +307,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = staged(rows.join(staged(buckets, f"{at}/buckets").hint("merge"), "key"), f"{at}/met")
     tried = staged(_promising(met.where("nid <> center").select(F.col("nid").alias("u"), F.col("center").alias("v")).distinct(), nodes), f"{at}/tried")
     links = _confirmed(tried, docs, f"{at}/first").unionAll(tied)
-    rest = met.where("c > 2").select("key", "nid")
-    for k, best_only in enumerate((True, False)):
-        labels = components(links, f"{at}/components{k}")
-        left = rest.join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("key", "nid", F.coalesce("root", "nid").alias("lab"))
-        open_ = left.groupBy("key").agg(F.min("lab").alias("a"), F.max("lab").alias("b")).where("a <> b").select("key")
-        rows_left = staged(left.join(open_, "key", "left_semi"), f"{at}/left{k}")
-        more = _crossing(rows_left, nodes, best_only).join(tried, ["u", "v"], "left_anti")
-        more = staged(_promising(more, nodes), f"{at}/more{k}")
-        tried = tried.unionAll(more)
-        links = links.unionAll(_confirmed(more, docs, f"{at}/again{k}"))
     labels = components(links, f"{at}/components")
+    left = staged(_groups(met, labels), f"{at}/left")
+    if left.limit(1).count():
+        crossing = staged(_crossing(left, nodes), f"{at}/crossing")
+        dense = staged(crossing.where("u IS NULL").select("key").distinct(), f"{at}/dense")
+        more = crossing.where("u IS NOT NULL").join(dense, "key", "left_anti").select("u", "v").distinct().join(tried, ["u", "v"], "left_anti")
+        # What is known of the components goes on as stars.
+        links = labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(_confirmed(more, docs, f"{at}/second"))
+        if dense.limit(1).count():
+            links = links.unionAll(staged(_dense_links(left.join(dense, "key", "left_semi"), docs), f"{at}/third"))
+        labels = components(links, f"{at}/joined")
     found = nodes.select("node", "nid").join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("node", F.coalesce("root", "nid").alias("component"))
     out = table.join(staged(found, f"{at}/found").hint("merge"), "node", "left")
     component = F.coalesce("component", "doc_id")
