@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +43,16 @@ def legacy_embeddings(spark: SparkSession, folder: str, files_each: int | None =
     return wide.select(*keys, F.array(*[F.col(n).cast("float") for n in names]).alias("embedding"), F.nullif(id_, F.lit("")).cast("int").alias("checkpoint_id"))
 
 
-def write_embeddings(df: DataFrame, path: str, wide: int | None = None) -> None:
+@F.pandas_udf("array<float>")
+def half(x: pd.Series) -> pd.Series:
+    """Embeddings with the precision of half floats, as floats: Spark has no half type and can't read Parquet's."""
+    return x.map(lambda v: None if v is None else np.asarray(v, np.float16).astype(np.float32))
+
+
+def write_embeddings(df: DataFrame, path: str, wide: int | None = None, half_precision: bool = False) -> None:
     """Parquet by checkpoint_id; the partitions that df has are replaced, others stay. wide: as so many emb_ columns."""
+    if half_precision:
+        df = df.withColumn("embedding", half("embedding"))
     if wide:
         df = df.select(*[c for c in df.columns if c != "embedding"], *to_wide(F.col("embedding"), wide))
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy("checkpoint_id").parquet(path)

@@ -89,3 +89,9 @@ def test_partitions_are_replaced_one_by_one(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "e")).orderBy("checkpoint_id").collect()
     assert [r["embedding"] for r in got] == [[3.0], [2.0]]
     assert tables.output_size(spark, str(tmp_path / "e"), "*.parquet").first()["files"] == 2
+
+
+def test_half_precision_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("f", [0.1, 1.0, 70000.0], 0)], "file string, embedding array<float>, checkpoint_id int")
+    tables.write_embeddings(df, str(tmp_path / "h"), half_precision=True)
+    assert spark.read.parquet(str(tmp_path / "h")).first()["embedding"] == [float(np.float32(np.float16(v))) for v in (0.1, 1.0, 70000.0)]
