@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvane import schemas
 from corvane.functions.arrays import to_wide, wide_names
@@ -43,7 +44,7 @@ def legacy_embeddings(spark: SparkSession, folder: str, files_each: int | None =
     return wide.select(*keys, F.array(*[F.col(n).cast("float") for n in names]).alias("embedding"), F.nullif(id_, F.lit("")).cast("int").alias("checkpoint_id"))
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def half(x: pd.Series) -> pd.Series:
     """Embeddings with the precision of half floats, as floats: Spark has no half type and can't read Parquet's."""
     return x.map(lambda v: None if v is None else np.asarray(v, np.float16).astype(np.float32))
