@@ -136,7 +136,7 @@ def gaps(found: list) -> list[int]:
 class WordCodes:
     """64-bit codes of words, with a bounded memory of words."""
 
-    def __init__(self, bound: int = 500_000):
+    def __init__(self, bound: int = 100_000):
         self.bound, self.known = bound, {}
 
     def __call__(self, words: list[str]) -> np.ndarray:

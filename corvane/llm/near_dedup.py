@@ -167,37 +167,46 @@ def _groups(met: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(several, "key", "left_semi")
 
 
-def _block_pairs(rows: DataFrame, size: int) -> DataFrame:
+def _block_pairs(rows: DataFrame, size: int, path: str) -> DataFrame:
     """(key, a, b): pairs of blocks of a group's rows (key, nid, lab, n, load), as lists of structs.
 
     A component with more than `size` rows in a group has blocks of its own, the others share blocks. Two blocks of one component make no
-    pair. So a large component costs its size times what else is in its groups."""
+    pair. So a large component costs its size times what else is in its groups. Pairs are made of the blocks' names first and get
+    their rows by name, so that the blocks of one large group are dealt to all tasks."""
     per_lab = rows.groupBy("key", "lab").agg(F.count(F.lit(1)).alias("c"))
     big = F.col("c") > size
     pool = per_lab.groupBy("key").agg(F.sum(F.when(~big, F.col("c")).otherwise(0)).alias("pool"))
-    dealt = rows.join(per_lab, ["key", "lab"]).join(pool, "key")
+    sizes = staged(per_lab.join(pool, "key"), f"{path}/sizes")
     own = F.xxhash64("lab", F.pmod(F.xxhash64("nid"), F.ceil(F.col("c") / size)))
     shared = F.pmod(F.xxhash64("lab"), F.ceil(F.col("pool") / size))
-    dealt = dealt.select("key", F.when(big, own).otherwise(shared).alias("blk"), F.when(big, F.col("lab")).alias("one"), F.struct("nid", "lab", "n", "load").alias("m"))
-    blocks = dealt.groupBy("key", "blk").agg(F.min("one").alias("one"), F.collect_list("m").alias("ms"))
-    a = blocks.select("key", *[F.col(c).alias(f"a_{c}") for c in ("blk", "one", "ms")])
-    b = blocks.select("key", *[F.col(c).alias(f"b_{c}") for c in ("blk", "one", "ms")])
-    return a.join(b, "key").where("a_blk <= b_blk AND NOT (a_one IS NOT NULL AND b_one IS NOT NULL AND a_one = b_one)").select("key", F.col("a_ms").alias("a"), F.col("b_ms").alias("b"))
+    named = rows.join(sizes.hint("merge"), ["key", "lab"]).select("key", F.when(big, own).otherwise(shared).alias("blk"), F.when(big, F.col("lab")).alias("one"), F.struct("nid", "lab", "n", "load").alias("m"))
+    blocks = staged(named.groupBy("key", "blk").agg(F.min("one").alias("one"), F.collect_list("m").alias("ms")), f"{path}/blocks")
+    names = lambda x: blocks.select("key", F.col("blk").alias(f"{x}_blk"), F.col("one").alias(f"{x}_one"))
+    pairs = names("a").join(names("b"), "key").where("a_blk <= b_blk AND NOT (a_one IS NOT NULL AND b_one IS NOT NULL AND a_one = b_one)")
+    side = lambda x: blocks.select("key", F.col("blk").alias(f"{x}_blk"), F.col("ms").alias(x))
+    return pairs.select("key", "a_blk", "b_blk").join(side("a").hint("merge"), ["key", "a_blk"]).join(side("b").hint("merge"), ["key", "b_blk"]).select("key", "a", "b")
 
 
-def _columns(block: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    return np.array([m["nid"] for m in block], np.int64), np.array([m["lab"] for m in block], np.int64), np.array([m["n"] for m in block], float), [m["load"] for m in block]
+def _columns(block: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    nid, lab, n = (block.field(c).to_numpy(zero_copy_only=False) for c in ("nid", "lab", "n"))
+    return nid, lab, n.astype(float), block.field("load").to_pylist()
 
 
-def _crossing(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+def _compared(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The key and both blocks of each row, one row at a time."""
+    key, a, b = batch.columns
+    for k in range(batch.num_rows):
+        yield key[k].as_py(), _columns(a[k].values), _columns(b[k].values)
+
+
+def _crossing(rows: DataFrame, nodes: DataFrame, path: str) -> DataFrame:
     """(key, u, v): pairs of nodes of one group that lie in different components and whose sketches allow a link. Where a pair of blocks has
     more pairs than twice its nodes, it gives none but a row with null u and v, which marks its group as dense."""
-    loaded = rows.join(nodes.select("nid", "n", F.col("regs").alias("load")), "nid")
+    loaded = rows.hint("merge").join(nodes.select("nid", "n", F.col("regs").alias("load")), "nid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                (ai, al, an, ar), (bi, bl, bn, br) = _columns(row["a"]), _columns(row["b"])
+            for key, (ai, al, an, ar), (bi, bl, bn, br) in _compared(batch):
                 ar, br = (np.frombuffer(b"".join(x), np.uint16).reshape(-1, REGISTERS) for x in (ar, br))
                 us, vs, n = [], [], 0
                 for i in range(len(ai)):
@@ -210,11 +219,11 @@ def _crossing(rows: DataFrame, nodes: DataFrame) -> DataFrame:
                     if n > 2 * (len(ai) + len(bi)):
                         break
                 if n > 2 * (len(ai) + len(bi)):
-                    yield pa.RecordBatch.from_arrays([pa.array([row["key"]], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["key", "u", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["key", "u", "v"])
                 elif n:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row["key"])), pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["key", "u", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["key", "u", "v"])
 
-    return _block_pairs(loaded, BLOCK).mapInArrow(run, "key long, u long, v long")
+    return _block_pairs(loaded, BLOCK, path).mapInArrow(run, "key long, u long, v long")
 
 
 def shared_counts(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -241,7 +250,7 @@ def shared_counts(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096) -
     return out
 
 
-def _dense_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
+def _dense_links(rows: DataFrame, docs: DataFrame, path: str) -> DataFrame:
     """Links (u, v) of dense groups (key, nid, lab), enough of them to join all components that links join. Full sets are compared as
     matrices, block by block, so that the many pairs that are nearly similar never become rows."""
 
@@ -256,8 +265,7 @@ def _dense_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                (ai, al, an, ar), (bi, bl, bn, br) = _columns(row["a"]), _columns(row["b"])
+            for _, (ai, al, an, ar), (bi, bl, bn, br) in _compared(batch):
                 both = shared_counts([np.frombuffer(x, np.uint64) for x in ar], [np.frombuffer(x, np.uint64) for x in br])
                 ok = (100 * both >= SIMILAR * (an[:, None] + bn[None, :] - both)) & (al[:, None] != bl[None, :])
                 root: dict[int, int] = {}
@@ -275,7 +283,7 @@ def _dense_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
                 if us:
                     yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
-    return _block_pairs(loaded, DENSE_BLOCK).mapInArrow(run, "u long, v long").distinct()
+    return _block_pairs(staged(loaded, f"{path}/sets"), DENSE_BLOCK, path).mapInArrow(run, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -310,13 +318,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = components(links, f"{at}/components")
     left = staged(_groups(met, labels), f"{at}/left")
     if left.limit(1).count():
-        crossing = staged(_crossing(left, nodes), f"{at}/crossing")
+        crossing = staged(_crossing(left, nodes, f"{at}/compared"), f"{at}/crossing")
         dense = staged(crossing.where("u IS NULL").select("key").distinct(), f"{at}/dense")
         more = crossing.where("u IS NOT NULL").join(dense, "key", "left_anti").select("u", "v").distinct().join(tried, ["u", "v"], "left_anti")
         # What is known of the components goes on as stars.
         links = labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(_confirmed(more, docs, f"{at}/second"))
         if dense.limit(1).count():
-            links = links.unionAll(staged(_dense_links(left.join(dense, "key", "left_semi"), docs), f"{at}/third"))
+            links = links.unionAll(staged(_dense_links(left.join(dense, "key", "left_semi"), docs, f"{at}/dense-compared"), f"{at}/third"))
         labels = components(links, f"{at}/joined")
     found = nodes.select("node", "nid").join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("node", F.coalesce("root", "nid").alias("component"))
     out = table.join(staged(found, f"{at}/found").hint("merge"), "node", "left")
