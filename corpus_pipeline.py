@@ -48,7 +48,7 @@ def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document (each copy in the mix) of a token store, read back and verified."""
     common.release(spark)
-    return token_store.encode_documents(docs, end_id=0)
+    return token_store.encode_documents(docs, end_id=0, remembered=150_000)
 
 
 STAGES = [

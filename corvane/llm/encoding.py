@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import json
 import os
-import re
 
 import numpy as np
 
-#: Words that a worker remembers, and texts whose new words are encoded at once.
-REMEMBERED, TOGETHER = 1_200_000, 64
-#: Marks that often end a word, and a word with such an end after a letter.
-MARKS = frozenset(".,;:!?\"')]}%$#&*|-")
-TAIL_RE = re.compile(r"(.*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([^\w\s]+)")
+from .common import gaps
+
+#: Words that a worker remembers in each of two generations, of about 200 bytes each, and texts whose new words are encoded at once.
+REMEMBERED, TOGETHER = 300_000, 64
+#: Marks that often end a word, and letters after which they are ids of their own.
+MARKS = ".,;:!?\"')]}%$#&*|-"
+LETTERS = frozenset(c for c in map(chr, (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250))) if c not in "\u00d7\u00f7")
 
 
 #: White space other than space and newline, by the widest definition.
@@ -25,17 +26,6 @@ def regular(t: str) -> bool:
     return bool(t) and t[-1] != " " and not any(x in t for x in DOUBLED) and not any(x in t for x in OTHER_SPACE)
 
 
-def gaps(found: list) -> list[int]:
-    """The places of None."""
-    out, at = [], -1
-    try:
-        while True:
-            at = found.index(None, at + 1)
-            out.append(at)
-    except ValueError:
-        return out
-
-
 class Encoder:
     """encode(texts) gives, for each text, the bytes of its ids as little-endian integers of `width` bytes.
 
@@ -44,7 +34,8 @@ class Encoder:
     most words are remembered. New words are encoded as one text, and parted where an id's text starts with their white space.
     Other tokenizers, and texts with other white space than single spaces and newlines between words, are encoded whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -54,6 +45,9 @@ class Encoder:
         self.by_word = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # Its own memory of words only costs time, as it gets each word once.
+        if self.by_word and hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)
         vocab = self.tokenizer.get_vocab()
         self.width = 2 if max(vocab.values()) < 1 << 16 else 4
         # The byte-level alphabet writes a space as U+0120 and a newline as U+010A.
@@ -63,6 +57,7 @@ class Encoder:
             self.starts[white][[i for t, i in vocab.items() if t.startswith(sign)]] = True
         #: By word, or newline and word; a word stands for itself after a space. First words of texts have no space.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
 
@@ -79,11 +74,12 @@ class Encoder:
             ids = np.array(self.tokenizer.encode_batch_fast([white + white.join(names)], add_special_tokens=False)[0].ids, dtype=self.dtype)
             starts = (np.flatnonzero(self.starts[white][ids]) * self.width).tolist()
             data = ids.tobytes()
-            self.known.update((n if white == " " else white + n, data[a:b]) for n, a, b in zip(names, starts, [*starts[1:], len(data)], strict=True))
+            keys = names if white == " " else [white + n for n in names]
+            self.known.update(zip(keys, [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)], strict=True)], strict=True))
 
     def _tail(self, marks: str) -> bytes:
         if marks not in self.tails:
-            if len(self.tails) > REMEMBERED // 8:
+            if len(self.tails) > self.remembered // 4:
                 self.tails.clear()
             self.tails[marks] = self._whole([marks])[0]
         return self.tails[marks]
@@ -95,10 +91,12 @@ class Encoder:
         for w in new:
             if w[0] == "\n":
                 lines.append(w)
-            elif w[-1] in MARKS and (m := TAIL_RE.fullmatch(w)):
-                parted.append((w, m[1], m[2]))
-                if m[1] not in known:
-                    words.add(m[1])
+                continue
+            core = w.rstrip(MARKS)
+            if len(core) < len(w) and core and core[-1] in LETTERS:
+                parted.append((w, core, w[len(core) :]))
+                if core not in known:
+                    words.add(core)
             else:
                 words.add(w)
         self._words(list(words), " ")
@@ -113,16 +111,20 @@ class Encoder:
         heads = [p and p.pop(0) for p in parts]
         new = {h for h in heads if h is not None and h not in first}
         if new:
-            if len(first) > REMEMBERED // 8:
+            if len(first) > self.remembered // 4:
                 first.clear()
                 new = {h for h in heads if h is not None}
             first.update(zip(new, self._whole(list(new)), strict=True))
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(known) > self.remembered:
+            self.older, self.known = known, {}
+            known = self.known
         found = [p if p is None else list(map(known.get, p)) for p in parts]
         holes = [(p, f, gaps(f)) for p, f in zip(parts, found, strict=True) if f and None in f]
         if holes:
-            self._learn({p[k] for p, _, at in holes for k in at})
+            missing = {p[k] for p, _, at in holes for k in at}
+            again = {w for w in missing if w in self.older}
+            known.update((w, self.older[w]) for w in again)
+            self._learn(missing - again)
             for p, f, at in holes:
                 for k in at:
                     f[k] = known[p[k]]
@@ -134,14 +136,15 @@ class Encoder:
         return [data for i in range(0, len(texts), TOGETHER) for data in self._group(texts[i : i + TOGETHER])]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """A worker process makes one for each file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """The one of a worker process, kept from task to task."""
+    if (path, remembered) not in _encoders:
+        _encoders.clear()
+        _encoders[path, remembered] = Encoder(path, remembered)
+    return _encoders[path, remembered]
 
 
 def default_path(name: str = "byte_bpe_50k.json") -> str:

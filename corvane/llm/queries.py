@@ -43,7 +43,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.encode_documents(_table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"), end_id=0)
+    return token_store.encode_documents(_table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"), end_id=0, remembered=1_000_000)
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

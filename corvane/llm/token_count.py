@@ -43,7 +43,7 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
         if out is not None:
             out.close()
 
-    return staged(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, file string, ord long"), f"{path}-order")
+    return staged(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, file string, ord long"), f"{path}/order")
 
 
 def separator(tokenizer: str) -> int:

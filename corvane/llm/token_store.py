@@ -17,27 +17,53 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import delete, gram_codes, mix, scratch, shards, staged
-from .encoding import default_path, encoder
+from .common import delete, mix, scratch, shards, staged
+from .encoding import REMEMBERED, TOGETHER, default_path, encoder
 
 #: Ids under the rolling hash, mean chunk (a power of two), longest chunk, ids of one segment of recipes.
 WINDOW, MEAN_CHUNK, MOST_CHUNK, SEGMENT_IDS = 16, 512, 4096, 1 << 27
 DIGEST = 16
 
 
+def _scrambled(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.uint64) + np.uint64(1)) >> np.uint64(32)).astype(np.uint32)
+
+
+_SMALL = _scrambled(np.arange(1 << 16))
+
+
+def _rolled(ids: np.ndarray) -> np.ndarray:
+    """A 32-bit hash of each WINDOW (a power of two) ids in a row, by doubling."""
+    x, width = _SMALL[ids] if ids.dtype.itemsize == 2 else _scrambled(ids), 1
+    while width < WINDOW:
+        x = x[: max(0, len(x) - width)] * np.uint32(pow(0x9E3779B1, width, 1 << 32)) + x[width:]
+        width *= 2
+    return x
+
+
 def cuts(ids: np.ndarray) -> list[int]:
     """Ends of the chunks of an id stream. A cut depends on the WINDOW ids before it alone, so equal passages get equal chunks."""
-    n = len(ids)
-    codes = gram_codes(mix(ids.astype(np.uint64) + np.uint64(1)), WINDOW)
-    ends = np.flatnonzero((codes & np.uint64(MEAN_CHUNK - 1)) == 0) + WINDOW
-    out, last = [], 0
-    for e in [*ends.tolist(), n]:
-        while e - last > MOST_CHUNK:
-            last += MOST_CHUNK
-            out.append(last)
-        if e > last:
-            out.append(e)
-            last = e
+    return cuts_of([len(ids)], ids)[0]
+
+
+def cuts_of(sizes: list[int], ids: np.ndarray) -> list[list[int]]:
+    """cuts of several streams that lie one after the other in ids, by one rolling hash over all."""
+    ends = np.flatnonzero(_rolled(ids) < np.uint32((1 << 32) // MEAN_CHUNK)) + WINDOW
+    stops = np.cumsum(sizes)
+    starts = stops - sizes
+    lo, hi = np.searchsorted(ends, starts + WINDOW), np.searchsorted(ends, stops)
+    ends = ends.tolist()
+    out = []
+    for start, n, a, b in zip(starts.tolist(), sizes, lo.tolist(), hi.tolist(), strict=True):
+        own, last = [], 0
+        for e in [*(x - start for x in ends[a:b]), n]:
+            while e - last > MOST_CHUNK:
+                last += MOST_CHUNK
+                own.append(last)
+            if e > last:
+                own.append(e)
+                last = e
+        out.append(own)
     return out
 
 
@@ -87,12 +113,14 @@ def crc_join(a: int, b: int, n_bytes: int) -> int:
     return int(crc_shift(np.array([a], np.uint32), np.array([n_bytes]))[0]) ^ b
 
 
-def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0) -> None:
+def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, remembered: int = REMEMBERED) -> None:
     """Encodes every whole text of docs (doc_id, text), end_id after each, and writes a store to path.
 
     A null or empty text is its end_id alone. Documents are ordered by doc_id, null first; rows of one doc_id follow one
     another by content and stay documents of their own. No documents make an empty store. Extra columns are ignored.
 
+    remembered: words that a worker keeps the ids of; more take memory and save encoding them again.
+
     Texts are encoded once. Only chunks are shuffled, by their digests, and equal ones meet before the shuffle where they
     share a task, so copies cost their digests. Recipes are dealt by ranges of doc_id."""
     spark = docs.sparkSession
@@ -100,18 +128,20 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     tokenizer = tokenizer or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, remembered)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         for batch in batches:
             size, root, hashes, chunks = [], [], [], []
-            for data in enc.encode([t or "" for t in batch.column(1).to_pylist()]):
-                data += end
-                at = [0, *cuts(np.frombuffer(data, enc.dtype))]
-                own = [data[a * enc.width : b * enc.width] for a, b in zip(at, at[1:], strict=False)]
-                size.append(len(data) // enc.width)
-                hashes.append([digest(c) for c in own])
-                root.append(merkle(hashes[-1]))
-                chunks.append(own)
+            texts = batch.column(1).to_pylist()
+            for first in range(0, len(texts), TOGETHER):
+                datas = [d + end for d in enc.encode([t or "" for t in texts[first : first + TOGETHER]])]
+                sizes = [len(d) // enc.width for d in datas]
+                for data, n, at in zip(datas, sizes, cuts_of(sizes, np.frombuffer(b"".join(datas), enc.dtype)), strict=True):
+                    own = [data[a * enc.width : b * enc.width] for a, b in zip([0, *at], at, strict=False)]
+                    size.append(n)
+                    hashes.append([digest(c) for c in own])
+                    root.append(merkle(hashes[-1]))
+                    chunks.append(own)
             kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary())]
             cols = [size, [enc.width] * len(size), root, hashes, chunks]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", "n_tokens", "width", "root", "hashes", "chunks"])
@@ -215,9 +245,9 @@ def store_digests(spark: SparkSession, path: str) -> DataFrame:
     return out.select("doc_id", start.cast("long").alias("start"), checked.alias("n_tokens"), "ids_crc32")
 
 
-def encode_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, path: str | None = None) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, path: str | None = None, remembered: int = REMEMBERED) -> DataFrame:
     """write_store and then store_digests; without a path the store lies in a scratch folder."""
     spark = docs.sparkSession
     path = path or scratch(spark, "store")
-    write_store(docs, path, tokenizer, end_id)
+    write_store(docs, path, tokenizer, end_id, remembered)
     return store_digests(spark, path)
