@@ -6,6 +6,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ Q, SEGMENT, EACH_EDIT, STEP = 12, 96, 16, 16
 #: Characters of items in one block; a benchmark of more is searched for in several passes.
 BLOCK_CHARS = 4_000_000
 FILTER_BITS = 22
+#: Segments of an item that are aligned at once.
+TOGETHER = 256
 NOT_WORD = re.compile(r"[\W_]+")
 
 
@@ -27,8 +30,12 @@ def normal(text: str | None) -> str:
     return NOT_WORD.sub(" ", text.lower()).strip() if text else ""
 
 
+def points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def codes_of(text: str) -> np.ndarray:
-    return mix(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
+    return mix(points(text).astype(np.uint64) + np.uint64(1))
 
 
 def budget(m: int) -> int:
@@ -38,10 +45,10 @@ def budget(m: int) -> int:
 
 @dataclass
 class Index:
-    """Segments of a block of items: each item up to SEGMENT characters, longer ones by overlapping windows."""
+    """A block of items. An item up to SEGMENT characters is one segment, of a longer one each SEGMENT characters in a row are."""
 
-    item: list[int] = field(default_factory=list)
-    text: list[str] = field(default_factory=list)
+    name: list[int] = field(default_factory=list)
+    whole: list[str] = field(default_factory=list)
     short: list[tuple[int, str]] = field(default_factory=list)
 
     @classmethod
@@ -49,91 +56,136 @@ class Index:
         out = cls()
         for name, raw in items:
             t = normal(raw)
-            if len(t) < Q:
-                if t:
-                    out.short.append((name, f" {t} "))
-                continue
-            last = max(0, len(t) - SEGMENT)
-            for a in sorted({*range(0, last, SEGMENT // 2), last}):
-                out.item.append(name)
-                out.text.append(t[a : a + SEGMENT])
+            if len(t) >= Q:
+                out.name.append(name)
+                out.whole.append(t)
+            elif t:
+                out.short.append((name, f" {t} "))
         out.finish()
         return out
 
     def finish(self) -> None:
-        size = np.array([len(t) for t in self.text], np.int64)
-        self.edits = np.array([budget(m) for m in size], np.int64)
+        self.length = np.array([len(t) for t in self.whole], np.int64)
+        self.size = np.minimum(self.length, SEGMENT)
+        self.budget = np.array([budget(m) for m in self.size.tolist()], np.int64)
         #: The lemma: a region within e edits shares m - Q + 1 - Q * e q-grams at least.
-        self.least = np.maximum(1, size - Q + 1 - Q * self.edits)
-        grams = [gram_codes(codes_of(t), Q) for t in self.text]
+        self.least = np.maximum(1, self.size - Q + 1 - Q * self.budget)
+        grams = [gram_codes(codes_of(t), Q) for t in self.whole]
         flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-        seg = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+        own = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         off = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
         order = np.argsort(flat, kind="stable")
         self.names, first = np.unique(flat[order], return_index=True)
         self.first = np.append(first, len(flat))
-        self.seg, self.off = seg[order], off[order]
+        self.own, self.off = own[order], off[order]
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.names >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        self.span = int(self.edits.max(initial=0))
-
-    def regions(self, grams: np.ndarray) -> list[tuple[int, int]]:
-        """(segment, first diagonal) of the bands whose count of shared q-grams meets the segment's bound."""
+        self.span = int(self.budget.max(initial=0))
+        #: Added to diagonals, so that none is negative.
+        self.shift = -(-int(self.length.max(initial=0)) // STEP) * STEP
+
+    # The segments one by one, as a brute force compares them; the search doesn't list them.
+    @cached_property
+    def item(self) -> list[int]:
+        return [x for x, n, m in zip(self.name, self.length.tolist(), self.size.tolist(), strict=True) for _ in range(n - m + 1)]
+
+    @cached_property
+    def text(self) -> list[str]:
+        return [t[a : a + m] for t, m in zip(self.whole, self.size.tolist(), strict=True) for a in range(len(t) - m + 1)]
+
+    @cached_property
+    def edits(self) -> np.ndarray:
+        return np.repeat(self.budget, self.length - self.size + 1)
+
+    def regions(self, grams: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(place of an item, first diagonal, starts of segments) of the bands in which these segments' counts of shared q-grams meet their
+        bound."""
         at = np.flatnonzero(self.filter[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
         if not len(at) or not len(self.names):
-            return []
+            return
         place = np.minimum(np.searchsorted(self.names, grams[at]), len(self.names) - 1)
         ok = self.names[place] == grams[at]
         at, place = at[ok], place[ok]
         if not len(at):
-            return []
+            return
         n = self.first[place + 1] - self.first[place]
         rows = np.repeat(self.first[place] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        diag = np.repeat(at, n) - self.off[rows] + SEGMENT
-        seg = self.seg[rows]
+        own, off = self.own[rows], self.off[rows]
+        diag = np.repeat(at, n) - off + self.shift
         # Bands start every STEP diagonals and reach `span` beyond the next start, so each alignment lies in one as a whole.
         both = (diag % STEP <= self.span) & (diag >= STEP)
-        key = np.concatenate([seg << 40 | diag // STEP, (seg << 40 | (diag // STEP - 1))[both]])
-        found, count = np.unique(key, return_counts=True)
-        found = found[count >= self.least[found >> 40]]
-        return [(int(k >> 40), int(k & ((1 << 40) - 1)) * STEP - SEGMENT) for k in found.tolist()]
+        key = np.concatenate([own << 40 | diag // STEP, (own << 40 | (diag // STEP - 1))[both]])
+        found, group, count = np.unique(key, return_inverse=True, return_counts=True)
+        enough = count >= self.least[found >> 40]
+        if not enough.any():
+            return
+        kept = enough[group]
+        group, off = group[kept], np.concatenate([off, off[both]])[kept]
+        order = np.lexsort((off, group))
+        group, off = group[order], off[order]
+        edge = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
+        for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            k = int(found[group[x]])
+            e = k >> 40
+            m, least, mine = int(self.size[e]), int(self.least[e]), off[x:y]
+            # From each q-gram to the one that completes the bound: the segments that hold both.
+            lo = np.maximum(mine[least - 1 :] - (m - Q), 0)
+            hi = np.minimum(mine[: len(mine) - least + 1], int(self.length[e]) - m)
+            some = lo <= hi
+            if some.any():
+                step = np.zeros(int(self.length[e]) - m + 2, np.int64)
+                np.add.at(step, lo[some], 1)
+                np.add.at(step, hi[some] + 1, -1)
+                yield e, (k & ((1 << 40) - 1)) * STEP - self.shift, np.flatnonzero(np.cumsum(step[:-1]))
 
     def leaks(self, text: str) -> list[int]:
         """The items of which the (normal) text holds a segment within its budget."""
         out = {name for name, t in self.short if t in f" {text} "} if self.short else set()
         if len(text) >= Q:
-            chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-            for seg, diag in self.regions(gram_codes(mix(chars.astype(np.uint64) + np.uint64(1)), Q)):
-                if self.item[seg] not in out and aligned(self.text[seg], chars, diag, STEP + self.span, int(self.edits[seg])):
-                    out.add(self.item[seg])
+            chars = points(text)
+            for e, diag, starts in self.regions(gram_codes(mix(chars.astype(np.uint64) + np.uint64(1)), Q)):
+                if self.name[e] not in out and aligned(points(self.whole[e]), starts, int(self.size[e]), chars, diag, STEP + self.span, int(self.budget[e])):
+                    out.add(self.name[e])
         return sorted(out)
 
 
-def aligned(segment: str, chars: np.ndarray, diag: int, width: int, edits: int) -> bool:
-    """Whether the whole segment aligns with a part of chars within `edits` edits, on diagonals from diag to diag + width, and
-    `edits` more at either side."""
-    seg = np.frombuffer(segment.encode("utf-32-le", "surrogatepass"), np.uint32)
+def aligned(item: np.ndarray, starts: np.ndarray, size: int, chars: np.ndarray, diag: int, width: int, edits: int) -> bool:
+    """Whether a segment of `size` characters of item, from one of `starts`, aligns as a whole with a part of chars within `edits` edits, on
+    diagonals of the item from diag to diag + width, and `edits` more at either side."""
     lo, n = diag - edits, width + 2 * edits + 1
     far = edits + 1
-    # cell[k]: edits of the best alignment of the segment so far that ends before position lo + i + k of chars
     steps = np.arange(n)
-    padded = np.full(n + len(seg) + 1, np.uint32(0xFFFFFFFF))
-    a, b = max(lo, 0), min(lo + len(padded), len(chars))
-    if b > a:
-        padded[a - lo : b - lo] = chars[a:b]
-    pos = lo + steps
-    cell = np.where((pos >= 0) & (pos <= len(chars)), 0, far)
-    for i in range(len(seg)):
-        take = cell + (padded[i : i + n] != seg[i])
-        skip = np.append(cell[1:], far) + 1
-        now = np.minimum(take, skip)
-        inside = (pos + i + 1 >= 0) & (pos + i + 1 <= len(chars))
-        now = np.where(inside, now, far)
-        now = np.minimum(np.minimum.accumulate(now - steps) + steps, far)
-        cell = np.where(inside, now, far)
-        if cell.min() > edits:
-            return False
-    return bool(cell.min() <= edits)
+    # The one in the middle first: of a whole copy it is enough. Then the others, TOGETHER at a time.
+    middle = len(starts) // 2
+    rest = np.delete(starts, middle)
+    for some in (starts[middle : middle + 1], *(rest[k : k + TOGETHER] for k in range(0, len(rest), TOGETHER))):
+        base, over = int(some[0]), int(some[-1]) - int(some[0]) + size + n
+        # The characters that the item's character base + i meets are padded[i : i + n].
+        padded = np.full(over, np.uint32(0xFFFFFFFF))
+        first = lo + base
+        a, b = max(first, 0), min(first + over, len(chars))
+        if b > a:
+            padded[a - first : b - first] = chars[a:b]
+        meets = np.lib.stride_tricks.sliding_window_view(padded, n)
+        row = some - base
+        pos = (first + row)[:, None] + steps
+        # cell[s, k]: edits of the best alignment of segment s so far that ends before position pos[s, k] + i of chars
+        cell = np.where((pos >= 0) & (pos <= len(chars)), 0, far)
+        for i in range(size):
+            take = cell + (meets[row + i] != item[base + row + i][:, None])
+            take[:, :-1] = np.minimum(take[:, :-1], cell[:, 1:] + 1)
+            inside = (pos + i + 1 >= 0) & (pos + i + 1 <= len(chars))
+            now = np.where(inside, take, far)
+            now = np.minimum(np.minimum.accumulate(now - steps, axis=1) + steps, far)
+            cell = np.where(inside, now, far)
+            alive = cell.min(axis=1) <= edits
+            if not alive.all():
+                row, pos, cell = row[alive], pos[alive], cell[alive]
+                if not len(row):
+                    break
+        if len(row):
+            return True
+    return False
 
 
 def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
@@ -175,8 +227,8 @@ def flag(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each row of docs (doc_id, text): doc_id, item_ids (sorted), n_items, contaminated. An item of benchmark
-    (item_id, text) is in a document whose text holds it, or SEGMENT characters of it in a row, within one edit for each
-    EACH_EDIT characters, after `normal` on both sides. Items of under Q characters must stand as whole words.
+    (item_id, text) is in a document whose text holds it, or of a longer item any SEGMENT characters in a row, within one edit for
+    each EACH_EDIT characters, after `normal` on both sides. Items of under Q characters must stand as whole words.
 
     A null or empty text holds no item; a null or empty item is in no text; an item without an id is -1. Items of one id are one item. Repeated
     rows are judged one by one, a null doc_id stays null. No items: nothing is contaminated. Extra columns are ignored.

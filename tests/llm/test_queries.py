@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -77,6 +78,27 @@ def test_decontamination_equals_brute_force(spark, sf_dir):
     assert index.leaks(docs[-1]) == [items[1][0]] and items[0][0] in index.leaks(docs[-2])
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_decontamination_finds_parts_from_every_offset(seed):
+    rnd = random.Random(seed)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 8))) for _ in range(n))
+    item = words(90)[:300].strip()
+    index, size = decontam.Index.of([(1, words(60)), (4, item)]), decontam.SEGMENT
+    for a in range(len(item) - size + 1):
+        part = decontam.normal(item[a : a + size])
+        if len(part) == size:  # a space at an end is the text's own
+            assert index.leaks(decontam.normal(f"{words(5)} {part} {words(5)}")) == [4]
+    for _ in range(60):
+        n = rnd.randint(80, 140)
+        a = rnd.randint(0, len(item) - n)
+        part = list(item[a : a + n])
+        for at in rnd.sample(range(n), rnd.randint(0, 11)):
+            part[at] = rnd.choice(["", "z", "zq", part[at] + "z"])
+        text = decontam.normal(f"{words(rnd.randint(0, 5))}{''.join(part)}{words(rnd.randint(0, 5))}")
+        want = any(best_edits(item[b : b + size], text) <= decontam.budget(size) for b in range(len(item) - size + 1))
+        assert index.leaks(text) == [4] * want
+
+
 def brute_components(rows):
     sets = {}
     for i, text in rows:
