@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .common import delete, mix, scratch, shards, staged
@@ -113,6 +113,29 @@ def crc_join(a: int, b: int, n_bytes: int) -> int:
     return int(crc_shift(np.array([a], np.uint32), np.array([n_bytes]))[0]) ^ b
 
 
+def _segments(recipes: DataFrame) -> list[Row]:
+    """seg, n_docs, n_tokens, width, seg_root and end of each segment of recipes, by seg. end is null unless each document starts where the
+    one before it ends."""
+    # A segment's documents are bounded by its bytes; the driver gets a row for each segment.
+    found = recipes.groupBy("seg").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.max("width").alias("width"), F.sort_array(F.collect_list(F.struct("local_start", "root", "n_tokens"))).alias("own"))
+    roots = F.sha2(F.array_join(F.transform("own", lambda x: F.hex(x["root"])), ""), 256)
+    end = F.aggregate("own", F.lit(0).cast("long"), lambda at, x: F.when(x["local_start"] == at, at + x["n_tokens"]))
+    return sorted(found.select("seg", "n_docs", "n_tokens", "width", roots.alias("seg_root"), end.alias("end")).collect(), key=lambda r: r["seg"])
+
+
+def _check_segments(recipes: DataFrame, manifest: DataFrame) -> None:
+    """An error unless the recipes as read are those that the manifest tells of, whole and in its order."""
+    names = ("n_docs", "n_tokens", "width", "seg_root")
+    read, told = ({r["seg"]: r for r in rows} for rows in (_segments(recipes), manifest.collect()))
+    start = 0
+    for seg in sorted({*read, *told}):
+        if seg not in read or seg not in told:
+            raise ValueError(f"segment {seg} is missing from the {'manifest' if seg in read else 'recipes'}")
+        if any(read[seg][c] != told[seg][c] for c in names) or read[seg]["end"] != told[seg]["n_tokens"] or told[seg]["start"] != start:
+            raise ValueError(f"the recipes of segment {seg} differ from the manifest")
+        start += told[seg]["n_tokens"]
+
+
 def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, remembered: int = REMEMBERED) -> None:
     """Encodes every whole text of docs (doc_id, text), end_id after each, and writes a store to path.
 
@@ -163,11 +186,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     ordered = made.select("doc_id", "root", "n_tokens", "width", "hashes").repartitionByRange(n_seg, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")
     numbered = ordered.mapInArrow(place, "doc_id long, root binary, n_tokens long, width int, hashes array<binary>, local_start long").withColumn("seg", F.spark_partition_id())
     recipes = staged(numbered, f"{path}/recipes")
-    roots = F.transform(F.sort_array(F.collect_list(F.struct("local_start", "root"))), lambda x: F.hex(x["root"]))
-    # A segment's documents are bounded by its bytes; the manifest has a row for each segment.
-    manifest = recipes.groupBy("seg").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.max("width").alias("width"), F.sha2(F.array_join(roots, ""), 256).alias("seg_root")).collect()
+    manifest = _segments(recipes)
     rows, start = [], 0
-    for r in sorted(manifest, key=lambda r: r["seg"]):
+    for r in manifest:
         rows.append((r["seg"], r["n_docs"], r["n_tokens"], r["width"], r["seg_root"], start))
         start += r["n_tokens"]
     spark.createDataFrame(rows, "seg int, n_docs long, n_tokens long, width int, seg_root string, start long").coalesce(1).write.parquet(f"{path}/manifest")
@@ -184,8 +205,9 @@ def open_store(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, Da
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, seg, local_start, ids (array<int>) of every document, put together from its chunks."""
-    chunks, recipes, _ = open_store(spark, path)
+    """doc_id, seg, local_start, ids (array<int>) of every document, put together from its chunks. Recipes are checked against the manifest."""
+    chunks, recipes, manifest = open_store(spark, path)
+    _check_segments(recipes, manifest)
     parts = recipes.select("doc_id", "seg", "local_start", "width", F.posexplode("hashes").alias("ord", "hash")).join(chunks, "hash")
     whole = parts.groupBy("doc_id", "seg", "local_start", "width").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "ids"))), lambda x: x["ids"]).alias("parts"))
 
@@ -201,9 +223,11 @@ def store_digests(spark: SparkSession, path: str) -> DataFrame:
     """One row for each document of a store, from its files: doc_id, start, n_tokens, ids_crc32.
 
     Every stored chunk is read and checked against its address, every document's Merkle root is made again from its chunks'
-    addresses, and lengths are compared with the recipes; a fault ends the run with an error. CRCs of chunks join to those
-    of documents, so no ids are shuffled, and documents of one content are put together once."""
+    addresses, and lengths are compared with the recipes; the recipes of each segment are compared with the manifest. A fault ends
+    the run with an error. CRCs of chunks join to those of documents, so no ids are shuffled, and documents of one content are put
+    together once."""
     chunks, recipes, manifest = open_store(spark, path)
+    _check_segments(recipes, manifest)
     width = manifest.agg(F.max("width")).first()[0] or 2
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from corvane.llm import common, decontam, encoding, graph, langid, line_dedup, mixing, near_dedup, quality, substring, token_count, token_store, url_rules
@@ -305,6 +306,29 @@ def test_store_finds_damage(spark, docs, tmp_path):
         token_store.store_digests(spark, path).collect()
 
 
+def test_store_finds_changed_recipes(spark, docs, tmp_path):
+    path = str(tmp_path / "store")
+    token_store.write_store(docs, path)
+    recipes = spark.read.parquet(f"{path}/recipes").cache()
+    rows, kinds = recipes.orderBy("seg", "local_start").collect(), recipes.schema
+    common.delete(spark, f"{path}/recipes")
+
+    def read(changed, reader=token_store.store_digests):
+        spark.createDataFrame(changed, kinds).coalesce(1).write.mode("overwrite").parquet(f"{path}/recipes")
+        return reader(spark, path).count()
+
+    assert read(rows) == read(rows[::-1]) == len(ROWS)
+    at = next(k for k in range(len(rows) - 1) if rows[k]["seg"] == rows[k + 1]["seg"] and rows[k]["root"] != rows[k + 1]["root"])
+    lost, doubled, alone = rows[:at] + rows[at + 1 :], [*rows, rows[at]], [r for r in rows if r["seg"] != rows[at]["seg"]]
+    x, y = rows[at].asDict(), rows[at + 1].asDict()
+    swapped = [*rows[:at], Row(**{**y, "local_start": x["local_start"]}), Row(**{**x, "local_start": x["local_start"] + y["n_tokens"]}), *rows[at + 2 :]]
+    moved = [*rows[:-1], Row(**{**rows[-1].asDict(), "local_start": rows[-1]["local_start"] + 1})]
+    for changed in (lost, doubled, alone, swapped, moved):
+        for reader in (token_store.store_digests, token_store.read_ids):
+            with pytest.raises(ValueError, match="segment"):
+                read(changed, reader)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_crcs_join_and_cuts_shift(seed):
     import zlib
