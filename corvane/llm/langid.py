@@ -18,6 +18,8 @@ ORDER = 3
 #: Bytes of text, in expectation, that a language's statistics are taken from, and the most languages.
 TRAIN_BYTES, MAX_LANGS = 4_000_000, 1_000
 PIECE = 1 << 20
+#: Characters of a piece of a text at most, as pieces are drawn to learn from.
+DRAWN = 1 << 16
 
 
 def fold(text: str) -> bytes:
@@ -142,15 +144,23 @@ def build(rows: list[tuple[str, int, int]]) -> Model:
 def train(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> Model | None:
     """A model from labelled (doc_id, text, lang) rows; those with a null text or lang are left out. None if there are no rows.
 
-    Of each language about train_bytes bytes are learned from: whole texts drawn by hash. The driver gets a row for each
-    language and distinct gram of this sample, so what it holds is bounded by the sample; more than MAX_LANGS is an error."""
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("h"))
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("n")).limit(MAX_LANGS + 1).collect()
+    Of each language about train_bytes bytes are learned from: texts, long ones in pieces of DRAWN characters at most, drawn by hash, and
+    always the one of the smallest hash. The driver gets a row for each language and distinct gram of this sample, so what it holds is
+    bounded by the sample; more than MAX_LANGS is an error."""
+    texts = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "lang", "text", F.greatest(F.lit(1), F.ceil(F.char_length("text") / DRAWN)).cast("int").alias("of"))
+    pieces = texts.select("lang", "text", "of", F.xxhash64("doc_id", "text").alias("id"), F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("k"))
+    # A text of one piece has the hash of the whole.
+    rows = pieces.select("lang", "text", "of", "k", F.pmod(F.when(F.col("k") == 0, F.col("id")).otherwise(F.xxhash64("id", "k")), F.lit(1 << 30)).alias("h"))
+    n_bytes = F.octet_length("text").cast("long")
+    sizes = rows.groupBy("lang").agg(F.sum(F.when(F.col("k") == 0, n_bytes)).alias("n"), F.min(F.when(n_bytes > 0, F.col("h"))).alias("least")).limit(MAX_LANGS + 1).collect()
     if len(sizes) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not sizes:
         return None
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], int((1 << 30) * min(1.0, train_bytes / max(1, r["n"]))))])
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], max(int((1 << 30) * min(1.0, train_bytes / max(1, r["n"]))), (r["least"] or 0) + 1))])
+    # Pieces of one text are of equal length, but for one character.
+    first = lambda k: F.floor(k * F.char_length("text").cast("long") / F.col("of")).cast("int")
+    piece = F.when(F.col("of") == 1, F.col("text")).otherwise(F.substring("text", first(F.col("k")) + 1, first(F.col("k") + 1) - first(F.col("k"))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,7 +173,7 @@ def train(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> Model | None:
                     names, n = np.unique(np.concatenate(found), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), pa.array(names.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
-    counts = rows.where(F.col("h") < F.element_at(share, F.col("lang"))).select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+    counts = rows.where(F.col("h") < F.element_at(share, F.col("lang"))).select("lang", piece.alias("text")).mapInArrow(count, "lang string, gram long, n long")
     table = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     found = list(zip(*(table[c].to_pylist() for c in ("lang", "gram", "n")), strict=True))
     return build(found) if found else None

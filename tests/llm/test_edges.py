@@ -179,6 +179,16 @@ def test_language_id(docs, none):
     assert {x["lang_pred"] for x in langid.language_id(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_of_few_long_texts_is_learned(spark):
+    for seed in range(4):
+        rnd = random.Random(seed)
+        rows = [(seed * 10 + k, "".join(rnd.choice("abcde ") for _ in range(langid.DRAWN * 3 + k)), "long") for k in range(3)]
+        rows += [(seed * 10 + 5, "xyz zyx", "short"), (seed * 10 + 6, "", "short")]
+        labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        # A model that may see one part in a thousand still knows each language.
+        assert langid.train(labelled, 600).langs == ["long", "short"]
+
+
 def plain_bits(counts, data):
     """Code lengths by walking the contexts one by one."""
     total = 0.0
