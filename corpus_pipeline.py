@@ -24,12 +24,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: that of the smallest doc_id."""
+    """One document of each group of near duplicates stays: that of the smallest doc_id, a null one last. Equal ids, or none, don't make
+    rows one document: rows link by their texts. Texts without words link with nothing; of equal rows of them one stays."""
     common.release(spark)
-    kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    # A null doc_id never links; equal ids are one document.
-    named = docs.where("doc_id IS NOT NULL").select(*COLUMNS).join(kept.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    # Rows get a key of their own, which holds because it is written.
+    rows = common.staged(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), f"{common.scratch(spark, 'rows')}/rows")
+    found = near_dedup.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id", "n_shingles")
+    # Which row of a group stays follows from its values, not from how rows were dealt.
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("t"), F.xxhash64("lang", "source", "n_chars").alias("x"), "row").alias("rank")
+    ranked = rows.select("row", rank, "doc_id", F.when(~F.col("text").rlike(common.WORD), F.col("text")).alias("blank")).hint("merge").join(found, "row")
+    empty = F.col("n_shingles") == 0
+    group = [F.when(~empty, F.col("component_id")).alias("c"), F.when(empty, F.col("doc_id")).alias("d"), F.when(empty, F.col("blank")).alias("b")]
+    kept = ranked.groupBy(*group).agg(F.min("rank").alias("rank")).select(F.col("rank.row").alias("row"))
+    return rows.join(kept.hint("merge"), "row", "left_semi").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,6 +139,22 @@ def test_separators_across_blocks(spark, tmp_path, block):
     assert sorted(tuple(r[c] for c in ("file", "ord", "start", "n_tokens", "closed")) for r in got) == want
 
 
+def test_pipeline_links_rows_without_or_with_repeated_ids(spark):
+    import corpus_pipeline
+
+    one, two, three = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [
+        (None, one, "en", "s", 1), (None, one, "en", "s", 1), (None, two, "en", "s", 1), (5, two + " more", "en", "s", 1), (4, two, "en", "s", 1), (4, three, "en", "s", 1),
+        (6, three, "en", "s", 1), (4, three, "en", "s", 1), (None, None, "en", "s", 0), (None, None, "en", "s", 0), (7, " ", "en", "s", 0), (7, " ", "en", "s", 0), (8, " ", "en", "s", 0), (9, "short", "en", "s", 1),
+    ]
+    want = sorted(map(str, [(None, one), (4, two), (4, three), (None, None), (7, " "), (8, " "), (9, "short")]))
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    for n, given in ((1, rows), (3, rows[::-1])):
+        got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(given, kinds).repartition(n), None).collect()
+        assert sorted(str((r["doc_id"], r["text"])) for r in got) == want
+    assert corpus_pipeline.near_duplicates(spark, spark.createDataFrame([], kinds), None).count() == 0
+
+
 @pytest.mark.parametrize("edits", [0, 1, 6, 14])
 def test_decontamination_within_the_budget(edits):
     rnd = random.Random(edits)
