@@ -7,8 +7,10 @@ import gc
 import math
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +23,22 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
-#: Rows in an Arrow batch; long texts make the default of 10,000 rows too large for a Python worker.
+#: Rows that a worker takes from an Arrow batch at a time; Spark bounds the batch itself by bytes.
 BATCH_ROWS = 2_000
+#: Seconds between the driver's garbage collections.
+TIDY_SECONDS = 4.0
 
-_made: list[str] = []
+#: Folders made so far, by who owns them.
+_made: dict[str, list[str]] = {}
+_owner = [""]
+_local: dict[str, str] = {}
+_tidied = [0.0]
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether the driver is the only process, so that its own folders reach all tasks."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -36,37 +50,39 @@ def scratch_root(spark: SparkSession) -> str:
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    root = "file://" + tempfile.mkdtemp(prefix="corvane-")
-    spark.sparkContext.setCheckpointDir(root)
-    return scratch_root(spark)
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = "file://" + tempfile.mkdtemp(prefix="corvane-")
+    return _local[app]
 
 
 def unique() -> str:
     return uuid.uuid4().hex
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Bounds the rows of the session's Arrow batches."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-
-
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's URI below the shared root."""
-    bound_batches(spark)
+    """A new folder's URI below the shared root. It belongs to the innermost `owned`."""
     path = f"{scratch_root(spark)}/corvane-{name}-{unique()}"
-    _made.append(path)
+    _made.setdefault(_owner[-1], []).append(path)
     return path
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes the scratch folders made so far. Call it only once every result read from them is written."""
-    jvm = spark.sparkContext._jvm
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def owned(name: str) -> Iterator[None]:
+    """Scratch folders made within belong to `name`."""
+    _owner.append(name)
+    try:
+        yield
+    finally:
+        _owner.pop()
+
+
+def release(spark: SparkSession, owner: str) -> None:
+    """Deletes the owner's scratch folders. Call it only once every result read from them is written; other folders stay."""
+    for path in _made.pop(owner, []):
+        delete(spark, path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -83,9 +99,12 @@ def staged(df: DataFrame, path: str) -> DataFrame:
 
 
 def tidy(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver collects garbage. Not more
+    often than every TIDY_SECONDS."""
+    if time.monotonic() - _tidied[0] > TIDY_SECONDS:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _tidied[0] = time.monotonic()
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -102,13 +121,19 @@ def shards(rows_bytes: float, each: float, least: int = 12) -> int:
     return max(least, math.ceil(rows_bytes / each))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of `rows` rows at most, without empty ones."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch], schema) -> DataFrame:
     """mapInArrow with a function from one batch to one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+        for batch in sliced(batches):
+            yield fn(batch)
 
     return df.mapInArrow(run, schema)
 

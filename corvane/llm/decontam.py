@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, gram_codes, mix
+from .common import gram_codes, mix, sliced
 
 #: Characters in a q-gram and in a segment of an item, characters for each edit of the budget, diagonals from one band to the next.
 Q, SEGMENT, EACH_EDIT, STEP = 12, 96, 16, 16
@@ -205,14 +205,13 @@ def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def flag(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs with item_ids, the sorted ids of the items that each text holds, after its columns. docs must have no column of that name."""
     spark = docs.sparkSession
-    bound_batches(spark)
     at = docs.columns.index("text")
     out = docs.withColumn("item_ids", F.array().cast("array<long>"))
     schema = out.schema
 
     def finder(index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in sliced(batches):
                 texts, before = b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()
                 found = [sorted({*old, *index.value.leaks(normal(t))}) for t, old in zip(texts, before, strict=True)]
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.list_(pa.int64()))], b.schema.names)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches
+from .common import sliced
 
 ORDER = 3
 #: Bytes of text, in expectation, that a language's statistics are taken from, and the most languages.
@@ -163,7 +163,7 @@ def train(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> Model | None:
     piece = F.when(F.col("of") == 1, F.col("text")).otherwise(F.substring("text", first(F.col("k")) + 1, first(F.col("k") + 1) - first(F.col("k"))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             by: dict[str, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by.setdefault(lang, []).append(text)
@@ -221,13 +221,12 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     A text that is null or has no letter, and any text if there is no model, is `und` with score 0. Equal code lengths go
     to the language that comes first by code point. docs must not have columns of these three names; only text is read."""
     spark = docs.sparkSession
-    bound_batches(spark)
     sent = spark.sparkContext.broadcast(model)  # bounded by the training sample
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = predictor(sent.value)
-        for batch in batches:
+        for batch in sliced(batches):
             langs, scores, rates = predict(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())], [*batch.schema.names, "lang_pred", "score", "bits_per_byte"])
 

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import WORD_RE, arrow_map, bound_batches
+from .common import WORD_RE, arrow_map
 
 SYMBOLS = "#*$%&|<>"
 BOILERPLATE = (
@@ -121,7 +121,6 @@ def quality_rules(docs: DataFrame, rules: LineRules | None = None, with_text: bo
     Repeated rows are judged one by one. Other columns of docs are ignored, whatever their names.
     One pass, no shuffle; a task holds one Arrow batch of texts."""
     rules = rules or LineRules()
-    bound_batches(docs.sparkSession)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [judge(t, rules) for t in batch.column(1).to_pylist()]

@@ -1,10 +1,12 @@
-"""Substring dedup by repeated-phrase automata: passages that recur are confirmed by their windows, compiled into sharded
-Aho-Corasick automata, and documents stream through these to locate every occurrence."""
+"""Substring dedup by repeated-phrase automata: recurring passages are confirmed by counting windows, cut where their surroundings
+differ, compiled into an Aho-Corasick automaton for each shard of documents, and all documents stream through these, which
+alone decide what goes."""
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -12,12 +14,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCodes, delete, gram_codes, scratch, shards, staged, table_bytes, words_of
+from .common import WordCodes, gram_codes, scratch, staged, words_of
+from .parts import code_lists, dealt, pack, read_part
 
 #: Words in a window, and in the phrase that stands for it: the one of least hash among the window's phrases.
 WINDOW, PHRASE = 35, 8
-#: Bytes of text whose phrases one automaton holds.
-SHARD_BYTES = 4 << 20
+#: Passages with one anchor that go to every shard with that anchor; beyond these, a passage goes where its first window is.
+FEW = 4
+#: Bits of a place within a part.
+PLACE = 31
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -39,25 +44,27 @@ def anchors(codes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return sliding_min(grams, window - phrase + 1), grams
 
 
-def suspects(codes: np.ndarray, window: int) -> list[int]:
+def suspects(codes: np.ndarray, window: int) -> np.ndarray:
     """A text's distinct anchors; those whose phrase stands in it twice or more come twice."""
     found, grams = anchors(codes, window)
     if not len(found):
-        return []
+        return found
     found = np.unique(found)
     names, n = np.unique(grams, return_counts=True)
     twice = found[n[np.searchsorted(names, found)] > 1] if len(names) < len(grams) else found[:0]
-    return np.concatenate([found, twice]).view(np.int64).tolist()
+    return np.concatenate([found, twice])
 
 
-def spans(mask: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Runs of marked windows as ranges of words."""
-    edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
-    return [(int(a), int(b) + window - 1) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
+def once_or_twice(codes: np.ndarray) -> np.ndarray:
+    """The distinct codes, and once more those that come twice or more."""
+    names, n = np.unique(codes, return_counts=True)
+    return np.concatenate([names, names[n > 1]])
 
 
 def member(x: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """Which of x stand in the sorted names, which aren't empty; the cost follows x."""
+    """Which of x stand in the sorted names; the cost follows x."""
+    if not len(names):
+        return np.zeros(len(x), bool)
     return names[np.minimum(np.searchsorted(names, x), len(names) - 1)] == x
 
 
@@ -66,32 +73,162 @@ def sha(words: list[str]) -> str:
 
 
 class PhraseAutomaton:
-    """An automaton over word numbers for whole phrases."""
+    """An automaton over word numbers for whole phrases; words that no phrase has are number 0."""
 
-    def __init__(self):
+    def __init__(self, phrases: list[list[str]]):
         self.words: dict[str, int] = {}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        self.size = 0
-
-    def numbers(self, words: list[str]) -> tuple[int, ...]:
-        return tuple([self.words.setdefault(w, len(self.words) + 1) for w in words])
+        for words in phrases:
+            self.automaton.add_word(tuple([self.words.setdefault(w, len(self.words) + 1) for w in words]), len(words))
+        if phrases:
+            self.automaton.make_automaton()
 
-    def add(self, phrase: tuple[int, ...]) -> None:
-        self.automaton.add_word(phrase, len(phrase))
-        self.size += 1
+    def covered(self, words: list[str]) -> np.ndarray | None:
+        """Which words lie in an occurrence of a phrase; None if none does."""
+        if not self.words:
+            return None
+        edge = None
+        for end, n in self.automaton.iter(tuple(map(self.words.get, words, repeat(0)))):
+            if edge is None:
+                edge = np.zeros(len(words) + 1, np.int64)
+            edge[end - n + 1] += 1
+            edge[end + 1] -= 1
+        return None if edge is None else np.cumsum(edge[:-1]) > 0
+
+
+def describer(window: int):
+    """Word counts and anchors of texts."""
+    codes = WordCodes()
+
+    def describe(texts: list[str | None]) -> tuple[list[int], list[np.ndarray]]:
+        words = [words_of(t) for t in texts]
+        return [len(w) for w in words], [suspects(codes(w), window) if len(w) >= window else np.empty(0, np.uint64) for w in words]
+
+    return describe
+
+
+def suspect_windows(part: pa.Table, p: int, hits: np.ndarray, window: int) -> list[np.ndarray]:
+    """anchor, code, number, first place, word before and word after of each distinct window of a part whose anchor is among the sorted hits. A
+    word is 0 at a text's edge and where the part has several."""
+    own, first = code_lists(part["codes"])
+    some = np.concatenate([[0], np.cumsum(member(own, hits))])
+    some = some[first[1:]] > some[first[:-1]]
+    n = part["n"].to_numpy()
+    starts = np.cumsum(n) - n
+    codes, out = WordCodes(), []
+    for i in np.flatnonzero(some).tolist():
+        c = codes(words_of(part["text"][i].as_py()))
+        anchor, _ = anchors(c, window)
+        at = np.flatnonzero(member(anchor, hits))
+        if len(at):
+            around = np.concatenate([[0], c, [0]]).astype(np.uint64)
+            out.append((anchor[at], gram_codes(c, window)[at], starts[i] + at, around[at], around[at + window + 1]))
+    if not out:
+        return [np.empty(0, np.int64)] * 6
+    a, w, place, before, after = map(np.concatenate, zip(*out, strict=True))
+    order = np.lexsort((w, a))  # keeps equal windows in the order of their places
+    a, w, place, before, after = (x[order] for x in (a, w, place, before, after))
+    edge = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (w[1:] != w[:-1])]))
+    one = lambda x: np.where(np.minimum.reduceat(x, edge) == np.maximum.reduceat(x, edge), x[edge], 0)
+    number = np.diff(np.append(edge, len(a)))
+    return [x.astype(np.uint64, copy=False).view(np.int64) for x in (a[edge], w[edge], number, (np.int64(p) << PLACE) + place[edge], one(before), one(after))]
+
+
+def passages(part: pa.Table, places: np.ndarray, before: np.ndarray, after: np.ndarray, window: int) -> list[tuple[int, int, str]]:
+    """Anchor and code of the first window, and the words, of the passages of a part that its recurring windows make: those that start at
+    neighbouring places of one text are one passage up to where what stands before, or after, isn't always the same."""
+    order = np.argsort(places)
+    places, before, after = places[order], before[order], after[order]
+    n = part["n"].to_numpy()
+    ends = np.cumsum(n)
+    doc = np.searchsorted(ends, places, side="right")
+    cut = np.concatenate([[True], (np.diff(places) != 1) | (np.diff(doc) != 0) | after[:-1] | before[1:]])
+    firsts = np.flatnonzero(cut)
+    lasts = np.append(firsts[1:], len(places)) - 1
+    codes, now, words, c, out = WordCodes(), -1, [], None, []
+    for d, x, y in zip(doc[firsts].tolist(), places[firsts].tolist(), places[lasts].tolist(), strict=True):
+        if d != now:
+            now, words = d, words_of(part["text"][d].as_py())
+        start = x - int(ends[d] - n[d])
+        own = words[start : start + y - x + window]
+        c = codes(own[:window])
+        out.append((int(anchors(c, window)[0].view(np.int64)[0]), int(gram_codes(c, window).view(np.int64)[0]), " ".join(own)))
+    return out
+
+
+def cleaned(ids: list, texts: list, phrases: list[str], with_text: bool) -> pa.Table:
+    """What is left of a part's texts when the automaton of these phrases has gone over all of them."""
+    auto, out = PhraseAutomaton([p.split(" ") for p in phrases]), []
+    for i, text in zip(ids, texts, strict=True):
+        kept = words = words_of(text)
+        gone = auto.covered(words)
+        if gone is not None:
+            kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+        out.append((i, len(words), len(words) - len(kept), sha(kept), " ".join(kept) if with_text else None))
+    cols = list(zip(*out, strict=True)) or [[]] * 5
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+
+
+def confirmed(docs: DataFrame, path: str, window: int = WINDOW) -> tuple[DataFrame, DataFrame, int]:
+    """The parts (p, file) of docs (doc_id, text) and their number, and the passages (p, words) that each part may hold."""
+    parts = pack(docs, path, lambda: describer(window), once_or_twice)
+    n_parts = parts.count()
+    files = parts.select("p", "file")
+    occ = parts.select("p", F.explode("codes").alias("a"))
+    again = staged(occ.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"), f"{path}/again")
+    # Distinct in a part, so a hot anchor has a row for each part.
+    hits = staged(occ.join(again.hint("merge"), "a").distinct(), f"{path}/hits")
+
+    def windows(wanted: DataFrame) -> DataFrame:
+        """(a, w, n, place, before, after) of the windows whose anchors are wanted (p, a)."""
+        lists = wanted.groupBy("p").agg(F.collect_list("a").alias("hits"))  # bounded by the anchors of a part
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for p, file, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                    found = suspect_windows(read_part(path, file, ["text", "n", "codes"]), p, np.sort(own.values.to_numpy().view(np.uint64)), window)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "w", "n", "place", "before", "after"])
+
+        listed = files.join(lists.hint("merge"), "p").select("p", "file", "hits")
+        return dealt(listed, n_parts).mapInArrow(run, "a long, w long, n long, place long, before long, after long")
+
+    # Anchor and code make 128 bits; windows with one anchor are few enough to be told apart by the code alone.
+    many = lambda c: ((F.min(c) != F.max(c)) | (F.min(c) == 0)).alias(c)
+    counts = windows(hits).groupBy("a", "w").agg(F.sum("n").alias("n"), F.min("place").alias("place"), many("before"), many("after")).where("n > 1")
+    split = counts.select(F.shiftright("place", PLACE).alias("p"), F.col("place").bitwiseAND((1 << PLACE) - 1).alias("place"), "before", "after")
+    recurring = staged(split, f"{path}/recurring")
+
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = []
+        if left.num_rows:
+            places, before, after = (left[c].to_numpy() for c in ("place", "before", "after"))
+            rows = passages(read_part(path, right["file"][0].as_py(), ["text", "n"]), places, before, after, window)
+        cols = list(zip(*rows, strict=True)) or [[]] * 3
+        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["a", "w", "words"])
+
+    found = staged(dealt(recurring, n_parts).groupBy("p").cogroup(dealt(files, n_parts).groupBy("p")).applyInArrow(cut, "a long, w long, words string"), f"{path}/passages")
+    busy = staged(found.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > FEW).select("a"), f"{path}/busy")
+    routed = found.join(busy.hint("merge"), "a", "left_anti").hint("merge").join(hits, "a").select("p", "words")
+    if busy.limit(1).count():
+        # Anchors with many passages: these go only to the parts that have their first windows.
+        own = staged(windows(hits.join(busy.hint("merge"), "a", "left_semi")).select("a", "w", F.shiftright("place", PLACE).alias("p")), f"{path}/busy-windows")
+        routed = routed.unionByName(own.hint("merge").join(found.join(busy.hint("merge"), "a", "left_semi"), ["a", "w"]).select("p", "words"))
+    return files, staged(routed, f"{path}/routed"), n_parts
+
+
+def located(files: DataFrame, routed: DataFrame, path: str, n_parts: int, with_text: bool = False) -> DataFrame:
+    """Compiles the passages of each part into an automaton and streams all documents of the part through it."""
 
-    def ready(self) -> None:
-        if self.size:
-            self.automaton.make_automaton()
+    def clean(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return cleaned([], [], [], with_text)
+        part = read_part(path, left["file"][0].as_py(), ["doc_id", "text"])
+        return cleaned(part["doc_id"].to_pylist(), part["text"].to_pylist(), right["words"].to_pylist(), with_text)
 
-    def covered(self, text: tuple[int, ...]) -> np.ndarray:
-        """Which words lie in an occurrence of a phrase."""
-        edge = np.zeros(len(text) + 1, np.int64)
-        if self.size and text:
-            for end, n in self.automaton.iter(text):
-                edge[end - n + 1] += 1
-                edge[end + 1] -= 1
-        return np.cumsum(edge[:-1]) > 0
+    kinds = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    out = dealt(files, n_parts).groupBy("p").cogroup(dealt(routed, n_parts).groupBy("p")).applyInArrow(clean, kinds)
+    return out if with_text else out.drop("kept_text")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
@@ -101,86 +238,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
 
     A null or empty text has no words; a text of fewer than `window` words loses none. Repeated rows, and rows of one doc_id,
     are documents of their own, so a repeated row of `window` words or more loses them. A null doc_id stays null. No documents
-    give no rows. Extra columns are ignored.
+    give no rows. Extra columns are ignored, whatever their names.
 
     Each window stands for one phrase in it, its anchor, so equal windows share it: about 7 of 100 positions are anchors. Anchors are
-    counted, and only windows with one that recurs are counted themselves. What recurs goes to the shards that suspect it;
-    a shard is a bounded part of the documents, compiles the recurring phrases of its own texts into one automaton, and streams
-    its texts through it. A passage that many documents share costs a row for each shard and no pairs."""
-    spark = docs.sparkSession
-    at = scratch(spark, "repeats")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", F.xxhash64("doc_id", "text"))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
-        for batch in batches:
-            n, digest, found = [], [], []
-            for text in batch.column(1).to_pylist():
-                words = words_of(text)
-                n.append(len(words))
-                digest.append(sha(words))
-                found.append(suspects(codes(words), window) if len(words) >= window else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "rid", "n_words", "sha", "anchors"])
-
-    first = staged(docs.select("doc_id", "text", "rid").mapInArrow(scan, "doc_id long, rid long, n_words long, sha string, anchors array<long>"), f"{at}/scan")
-    occ = first.select("rid", F.explode("anchors").alias("a"))
-    again = staged(occ.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"), f"{at}/again")
-    hits = staged(occ.join(again.hint("merge"), "a").groupBy("rid").agg(F.collect_set("a").alias("hits")), f"{at}/hits")
-    found = staged(docs.join(hits.hint("merge"), "rid").select("rid", "doc_id", "text", "hits"), f"{at}/found")
-    n_rows, n_bytes = table_bytes(found, "text")
-    n_shards = shards(n_bytes, SHARD_BYTES)
-    found = found.withColumn("p", F.pmod("rid", F.lit(n_shards)).cast("int"))
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
-        for batch in batches:
-            by: dict[int, list[np.ndarray]] = {}
-            for text, own, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                c = codes(words_of(text))
-                anchor, _ = anchors(c, window)
-                by.setdefault(p, []).append(gram_codes(c, window)[member(anchor.view(np.int64), np.sort(np.array(own, np.int64)))])
-            for p, parts in by.items():
-                w, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(np.full(len(w), p, np.int32)), pa.array(n.astype(np.int64))], ["w", "p", "n"])
-
-    seen = found.select("text", "hits", "p").mapInArrow(windows, "w long, p int, n long")
-    recurring = seen.groupBy("w").agg(F.sum("n").alias("n"), F.collect_set("p").alias("ps")).where("n > 1")
-    # Written, so that the counts' shuffle is gone before the texts are dealt to their shards.
-    routed = staged(recurring.select("w", F.explode("ps").alias("p")), f"{at}/routed")
-
-    def clean(left: pa.Table, right: pa.Table) -> pa.Table:
-        codes, auto = WordCodes(), PhraseAutomaton()
-        known = np.unique(right.column("w").to_numpy().view(np.uint64))
-        ids, texts = left.column("doc_id").to_pylist(), left.column("text").to_pylist()
-        numbered, phrases = [], set()
-        for text in texts:
-            words = words_of(text)
-            numbers = auto.numbers(words)
-            numbered.append(numbers)
-            if len(words) >= window and len(known):
-                for a, b in spans(member(gram_codes(codes(words), window), known), window):
-                    phrases.add(numbers[a:b])
-        for phrase in phrases:
-            auto.add(phrase)
-        auto.ready()
-        out = []
-        for i, text, numbers in zip(ids, texts, numbered, strict=True):
-            gone = auto.covered(numbers)
-            kept = [w for w, g in zip(words_of(text), gone, strict=True) if not g]
-            out.append((i, len(numbers), len(numbers) - len(kept), sha(kept), " ".join(kept) if with_text else None))
-        cols = list(zip(*out, strict=True)) or [[]] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
-
-    kinds = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    done = staged(found.select("p", "doc_id", "text").groupBy("p").cogroup(routed.groupBy("p")).applyInArrow(clean, kinds), f"{at}/done")
-    delete(spark, f"{at}/found")
-    rest = first.join(hits.select("rid").hint("merge"), "rid", "left_anti")
-    if with_text:
-        own = F.array_join(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")), " ")
-        rest = rest.join(docs.select("rid", own.alias("kept_text")).dropDuplicates(["rid"]).hint("merge"), "rid").withColumn("kept_text", F.coalesce("kept_text", F.lit("")))
-        return done.unionByName(rest.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"), "kept_text"))
-    return done.drop("kept_text").unionByName(rest.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256")))
+    counted, and only windows with one that recurs are counted themselves, once for each part that has them, with the word before and
+    after. Recurring windows make passages at their first occurrences: neighbours are one passage unless what stands before or after
+    one of them differs somewhere. So wherever one window of a passage occurs, the whole passage does, and each window is in one
+    passage only. A part gets the passages whose anchors it has, compiles them into its automaton, and all its documents stream through it;
+    the automaton compares words, and nothing else decides what goes. Texts stay in their part files: what is shuffled are anchors,
+    windows and passages. A passage that many documents share costs a row for each part and no pairs."""
+    at = scratch(docs.sparkSession, "repeats")
+    files, routed, n_parts = confirmed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), at, window)
+    return located(files, routed, at, n_parts, with_text)
 
 
 ORACLE = r"""

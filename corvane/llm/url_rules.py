@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, bound_batches
+from .common import LOWER, UPPER
 
 #: Sampled keys that set the bounds of partitions; they decide only how evenly the rows are dealt.
 SAMPLE_KEYS = 20_000
@@ -90,7 +90,6 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow")
     if len(rules) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")
     spark = pages.sparkSession
-    bound_batches(spark)
     host, path = parts("url")
     key = F.concat(F.array_join(F.reverse(F.split(F.col("host"), r"\.", -1)), "\0"), F.lit("\0"))
     rows = pages.select("page_id", "url").select("page_id", host.alias("host"), path.alias("path")).withColumn("key", key)

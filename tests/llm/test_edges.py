@@ -303,6 +303,42 @@ def test_substring_by_brute_force(spark, seed):
         assert got[d]["kept_sha256"] == sha(" ".join(x for i, x in enumerate(w) if i not in gone[d]))
 
 
+def test_automaton_alone_decides(spark, tmp_path):
+    """Without its phrases nothing goes, and with them only what holds them word by word, also in texts that nothing pointed to."""
+    passage = [f"p{i}" for i in range(80)]
+    rows = [(1, " ".join(["a", *passage, "b"])), (2, " ".join(["c", *passage[10:60], "d"])), (3, " ".join(passage[:34]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    files, routed, n = substring.confirmed(docs, str(tmp_path))
+    assert sorted(len(r["words"].split(" ")) for r in routed.collect()) == [50]  # what both have, from end to end
+    gone = lambda phrases: {r["doc_id"]: r["n_removed"] for r in substring.located(files, phrases, str(tmp_path), n).collect()}
+    assert gone(routed) == {1: 50, 2: 50, 3: 0}
+    assert gone(routed.limit(0)) == {1: 0, 2: 0, 3: 0}
+    assert gone(routed.withColumn("words", F.lit(" ".join(passage[:34])))) == {1: 34, 2: 0, 3: 34}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_substring_with_many_passages_of_one_anchor(spark, monkeypatch, seed):
+    """A phrase before which, and after which, many things stand: its passages go only where they are."""
+    rnd = random.Random(seed)
+    start = [f"s{i}" for i in range(30)]
+    texts = []
+    for k in range(30):
+        tail = [f"t{k}x{i}" for i in range(20)]
+        for _ in range(rnd.randrange(1, 4)):
+            texts.append([f"u{len(texts)}", *start, *tail[: rnd.randrange(3, 20)], f"v{len(texts)}"])
+    seen = {}
+    for d, w in enumerate(texts):
+        for i in range(len(w) - 34):
+            seen.setdefault(tuple(w[i : i + 35]), []).append((d, i))
+    gone = {d: set() for d in range(len(texts))}
+    for places in seen.values():
+        for d, i in places * (len(places) > 1):
+            gone[d].update(range(i, i + 35))
+    rows = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(texts)], "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["n_removed"] for r in substring.remove_repeats(rows).collect()}
+    assert got == {d: len(g) for d, g in gone.items()} and any(got.values())
+
+
 def test_sliding_minimum():
     x = np.random.default_rng(1).integers(0, 50, 200).astype(np.uint64)
     for width in (1, 2, 3, 28, 200, 201):
