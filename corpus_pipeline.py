@@ -5,6 +5,9 @@ docs. All but the last return the columns of documents; the last returns a row f
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,18 +18,34 @@ LEAST_SCORE = 0.5
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """fn, whose scratch folders live until the next stage is called: by then its result is written. Folders of other calls stay."""
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.release(spark, "pipeline")
+        with common.owned("pipeline"):
+            return fn(spark, docs, sf_dir)
+
+    return run
+
+
+@_stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labelled documents that aren't held out; those without a letter or without a likely language go."""
-    common.release(spark)
+    """Learns from the labelled documents that aren't held out; those without a letter or without a likely language go.
+
+    A null or empty text has no letter and goes; a null lang is only not learned from. Rows are judged one by one, so repeated rows
+    share their fate, and a null doc_id counts as one that isn't held out. Without a learned language all go. No documents give no rows; other columns
+    than those of documents are left out, whatever their names."""
     model = langid.train(docs.where(~langid.held_out()).select("doc_id", "text", "lang"))
     judged = langid.identify(docs.select(*COLUMNS), model)
     return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: that of the smallest doc_id, a null one last. Equal ids, or none, don't make
     rows one document: rows link by their texts. Texts without words link with nothing; of equal rows of them one stays."""
-    common.release(spark)
     # Rows get a key of their own, which holds because it is written.
     rows = common.staged(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), f"{common.scratch(spark, 'rows')}/rows")
     found = near_dedup.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id", "n_shingles")
@@ -39,22 +58,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(kept.hint("merge"), "row", "left_semi").select(*COLUMNS)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
-    common.release(spark)
+    """Documents that hold a passage of the benchmark go. A null or empty text holds none and stays, as does all if the benchmark is empty; repeated rows
+    are judged one by one. No documents give no rows; other columns than those of documents are left out, whatever their names."""
     flagged = decontam.flag(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return flagged.where(F.size("item_ids") == 0).select(*COLUMNS)
 
 
+@_stage
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in proportions 3, 1, 2 over 150 % of all words; a document stands in the result as often as the mix takes it."""
-    common.release(spark)
+    """Sources in proportions 3, 1, 2 over 150 % of all words; a document stands in the result as often as the mix takes it,
+    which may be not at all. A null source is a source of its own, a null text has no words and goes with its source's share; rows of one doc_id are taken together.
+    No documents give no rows; other columns than those of documents are left out, whatever their names."""
     return mixing.mixed(docs.select(*COLUMNS), weights=(3, 1, 2), epochs=1.5, cap=2.0).select(*COLUMNS)
 
 
+@_stage
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of each document (each copy in the mix) of a token store, read back and verified."""
-    common.release(spark)
+    """doc_id, start, n_tokens and ids_crc32 of each document (each copy in the mix) of a token store, read back and verified.
+
+    A null or empty text is its end id alone; a null doc_id comes first; repeated rows are documents of their own. No documents give no rows."""
     return token_store.encode_documents(docs, end_id=0, remembered=150_000)
 
 
