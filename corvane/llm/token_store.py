@@ -2,8 +2,8 @@
 once, recipes list each document's chunks in ascending doc_id order, and Merkle roots verify what is read back.
 
 Layout, all Parquet: chunks/ (hash, ids: little-endian integers of the store's width), recipes/ (seg, doc_id,
-local_start, n_tokens, root, hashes; sorted by doc_id within and across segments), manifest/ (seg, n_docs, n_tokens,
-seg_root, start, width)."""
+pos, local_start, n_tokens, root, hashes; sorted by doc_id within and across segments), manifest/ (seg, n_docs, n_tokens,
+seg_root, start, width; seg_root is that of a Merkle tree over the segment's recipes), root/ (a digest of the manifest)."""
 
 from __future__ import annotations
 
@@ -17,12 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from .common import delete, mix, scratch, shards, staged
+from .common import delete, mix, scratch, shards, sliced, staged
 from .encoding import REMEMBERED, TOGETHER, default_path, encoder
 
 #: Ids under the rolling hash, mean chunk (a power of two), longest chunk, ids of one segment of recipes.
 WINDOW, MEAN_CHUNK, MOST_CHUNK, SEGMENT_IDS = 16, 512, 4096, 1 << 27
 DIGEST = 16
+#: Children of a node of a segment's Merkle tree.
+GROUP = 1024
+MANIFEST = ("seg", "n_docs", "n_tokens", "width", "seg_root", "start")
 
 
 def _scrambled(ids: np.ndarray) -> np.ndarray:
@@ -114,24 +117,37 @@ def crc_join(a: int, b: int, n_bytes: int) -> int:
 
 
 def _segments(recipes: DataFrame) -> list[Row]:
-    """seg, n_docs, n_tokens, width, seg_root and end of each segment of recipes, by seg. end is null unless each document starts where the
-    one before it ends."""
-    # A segment's documents are bounded by its bytes; the driver gets a row for each segment.
-    found = recipes.groupBy("seg").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.max("width").alias("width"), F.sort_array(F.collect_list(F.struct("local_start", "root", "n_tokens"))).alias("own"))
-    roots = F.sha2(F.array_join(F.transform("own", lambda x: F.hex(x["root"])), ""), 256)
-    end = F.aggregate("own", F.lit(0).cast("long"), lambda at, x: F.when(x["local_start"] == at, at + x["n_tokens"]))
-    return sorted(found.select("seg", "n_docs", "n_tokens", "width", roots.alias("seg_root"), end.alias("end")).collect(), key=lambda r: r["seg"])
-
-
-def _check_segments(recipes: DataFrame, manifest: DataFrame) -> None:
-    """An error unless the recipes as read are those that the manifest tells of, whole and in its order."""
-    names = ("n_docs", "n_tokens", "width", "seg_root")
-    read, told = ({r["seg"]: r for r in rows} for rows in (_segments(recipes), manifest.collect()))
+    """seg, n_docs, n_tokens, width and seg_root, the root of the Merkle tree over its recipes in their order, of each segment, by seg.
+
+    Nodes have GROUP children at most, so no task holds a segment; the driver gets a row for each segment."""
+    leaf = F.sha2(F.concat_ws(",", F.hex("root"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "local_start", "n_tokens", "width"), 256)
+    nodes = recipes.select("seg", F.col("pos").alias("i"), leaf.alias("node"), F.lit(1).cast("long").alias("n_docs"), "n_tokens", "width")
+    levels, span = 1, (recipes.agg(F.max("pos")).first()[0] or 0) + 1
+    while GROUP**levels < span:
+        levels += 1
+    for _ in range(levels):
+        own = F.transform(F.sort_array(F.collect_list(F.struct("i", "node"))), lambda x: x["node"])
+        nodes = nodes.groupBy("seg", F.floor(F.col("i") / GROUP).alias("i")).agg(F.sha2(F.array_join(own, ""), 256).alias("node"), F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.max("width").alias("width"))
+    return sorted(nodes.select("seg", "n_docs", "n_tokens", "width", F.col("node").alias("seg_root")).collect(), key=lambda r: r["seg"])
+
+
+def _store_root(rows: list) -> str:
+    """A digest over the manifest's rows in their order."""
+    return hashlib.sha256("\n".join(",".join(str(r[c]) for c in MANIFEST) for r in sorted(rows, key=lambda r: r["seg"])).encode()).hexdigest()
+
+
+def _check_segments(recipes: DataFrame, manifest: DataFrame, top: DataFrame) -> None:
+    """An error unless the manifest is whole, and the recipes as read are those that it tells of, in its order."""
+    told = manifest.collect()
+    roots = [r[0] for r in top.collect()]
+    if roots != [_store_root(told)]:
+        raise ValueError("a segment of the manifest is missing or changed")
+    read, told = ({r["seg"]: r for r in rows} for rows in (_segments(recipes), told))
     start = 0
     for seg in sorted({*read, *told}):
         if seg not in read or seg not in told:
             raise ValueError(f"segment {seg} is missing from the {'manifest' if seg in read else 'recipes'}")
-        if any(read[seg][c] != told[seg][c] for c in names) or read[seg]["end"] != told[seg]["n_tokens"] or told[seg]["start"] != start:
+        if any(read[seg][c] != told[seg][c] for c in ("n_docs", "n_tokens", "width", "seg_root")) or told[seg]["start"] != start:
             raise ValueError(f"the recipes of segment {seg} differ from the manifest")
         start += told[seg]["n_tokens"]
 
@@ -153,7 +169,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, remembered)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
-        for batch in batches:
+        for batch in sliced(batches):
             size, root, hashes, chunks = [], [], [], []
             texts = batch.column(1).to_pylist()
             for first in range(0, len(texts), TOGETHER):
@@ -174,46 +190,53 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     made.select(F.explode(F.arrays_zip("hashes", "chunks")).alias("c")).select(F.col("c.hashes").alias("hash"), F.col("c.chunks").alias("ids")).dropDuplicates(["hash"]).write.option("compression", "zstd").parquet(f"{path}/chunks")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        upto = 0
+        upto = pos = 0
         for batch in batches:
             n = batch.column(2).to_numpy()
             ends = upto + np.cumsum(n)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - n, pa.int64())], [*batch.schema.names, "local_start"])
-            upto = int(ends[-1]) if len(ends) else upto
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - n, pa.int64()), pa.array(np.arange(pos, pos + len(n)))], [*batch.schema.names, "local_start", "pos"])
+            upto, pos = int(ends[-1]) if len(ends) else upto, pos + len(n)
 
     n_rows, n_ids = made.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     n_seg = shards(n_ids + 16 * n_rows, SEGMENT_IDS, least=8)
     ordered = made.select("doc_id", "root", "n_tokens", "width", "hashes").repartitionByRange(n_seg, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")
-    numbered = ordered.mapInArrow(place, "doc_id long, root binary, n_tokens long, width int, hashes array<binary>, local_start long").withColumn("seg", F.spark_partition_id())
+    numbered = ordered.mapInArrow(place, "doc_id long, root binary, n_tokens long, width int, hashes array<binary>, local_start long, pos long").withColumn("seg", F.spark_partition_id())
     recipes = staged(numbered, f"{path}/recipes")
-    manifest = _segments(recipes)
     rows, start = [], 0
-    for r in manifest:
-        rows.append((r["seg"], r["n_docs"], r["n_tokens"], r["width"], r["seg_root"], start))
+    for r in _segments(recipes):
+        rows.append({**r.asDict(), "start": start})
         start += r["n_tokens"]
-    spark.createDataFrame(rows, "seg int, n_docs long, n_tokens long, width int, seg_root string, start long").coalesce(1).write.parquet(f"{path}/manifest")
+    spark.createDataFrame([tuple(r[c] for c in MANIFEST) for r in rows], "seg int, n_docs long, n_tokens long, width int, seg_root string, start long").coalesce(1).write.parquet(f"{path}/manifest")
+    # Written last: a store without it isn't whole.
+    spark.createDataFrame([(_store_root(rows),)], "store_root string").coalesce(1).write.parquet(f"{path}/root")
     delete(spark, f"{at}/made")
 
 
 def open_store(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    recipe = "doc_id long, root binary, n_tokens long, width int, hashes array<binary>, local_start long, seg int"
-    return (
-        spark.read.schema("hash binary, ids binary").parquet(f"{path}/chunks"),
-        spark.read.schema(recipe).parquet(f"{path}/recipes"),
-        spark.read.schema("seg int, n_docs long, n_tokens long, width int, seg_root string, start long").parquet(f"{path}/manifest"),
-    )
+    """The chunks, recipes and manifest of a store, once the recipes and the manifest are found to be whole."""
+    recipe = "doc_id long, root binary, n_tokens long, width int, hashes array<binary>, local_start long, pos long, seg int"
+    recipes = spark.read.schema(recipe).parquet(f"{path}/recipes")
+    manifest = spark.read.schema("seg int, n_docs long, n_tokens long, width int, seg_root string, start long").parquet(f"{path}/manifest")
+    _check_segments(recipes, manifest, spark.read.schema("store_root string").parquet(f"{path}/root"))
+    return spark.read.schema("hash binary, ids binary").parquet(f"{path}/chunks"), recipes, manifest
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, seg, local_start, ids (array<int>) of every document, put together from its chunks. Recipes are checked against the manifest."""
-    chunks, recipes, manifest = open_store(spark, path)
-    _check_segments(recipes, manifest)
-    parts = recipes.select("doc_id", "seg", "local_start", "width", F.posexplode("hashes").alias("ord", "hash")).join(chunks, "hash")
-    whole = parts.groupBy("doc_id", "seg", "local_start", "width").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "ids"))), lambda x: x["ids"]).alias("parts"))
+    """doc_id, seg, local_start, ids (array<int>) of every document, put together from its chunks. Recipes are checked against the manifest, chunks
+    against their addresses; a missing one is an error."""
+    chunks, recipes, _ = open_store(spark, path)
+    parts = recipes.select("doc_id", "seg", "local_start", "width", F.posexplode("hashes").alias("ord", "hash")).join(chunks, "hash", "left")
+    whole = parts.groupBy("doc_id", "seg", "local_start", "width").agg(F.sort_array(F.collect_list(F.struct("ord", "hash", "ids"))).alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [np.frombuffer(b"".join(p), f"<u{w}").astype(np.int64).tolist() for w, p in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+        for b in sliced(batches):
+            ids = []
+            for w, p in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+                if any(x["ids"] is None for x in p):
+                    raise ValueError("a document lacks a chunk")
+                if any(digest(x["ids"]) != x["hash"] for x in p):
+                    raise ValueError("a chunk doesn't match its address")
+                ids.append(np.frombuffer(b"".join(x["ids"] for x in p), f"<u{w}").astype(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "seg", "local_start", "ids"])
 
     return whole.mapInArrow(run, "doc_id long, seg int, local_start long, ids array<long>")
@@ -227,11 +250,10 @@ def store_digests(spark: SparkSession, path: str) -> DataFrame:
     the run with an error. CRCs of chunks join to those of documents, so no ids are shuffled, and documents of one content are put
     together once."""
     chunks, recipes, manifest = open_store(spark, path)
-    _check_segments(recipes, manifest)
     width = manifest.agg(F.max("width")).first()[0] or 2
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             names, data = b.column(0).to_pylist(), b.column(1).to_pylist()
             if any(digest(x) != h for h, x in zip(names, data, strict=True)):
                 raise ValueError("a chunk doesn't match its address")
@@ -244,9 +266,7 @@ def store_digests(spark: SparkSession, path: str) -> DataFrame:
     parts = refs.join(facts, "hash", "left").groupBy("root").agg(F.sort_array(F.collect_list(F.struct("ord", "hash", "n", "crc"))).alias("parts"))
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in sliced(batches):
             lists = b.column(1)
             hashes, n, crc = (lists.flatten().field(c) for c in ("hash", "n", "crc"))
             if crc.null_count:
@@ -262,7 +282,7 @@ def store_digests(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.add.reduceat(n, first)), pa.array(crcs.astype(np.int64))], ["root", "n_read", "ids_crc32"])
 
     built = parts.mapInArrow(rebuild, "root binary, n_read long, ids_crc32 long")
-    placed = recipes.select("doc_id", "seg", "local_start", "n_tokens", "root").join(manifest.select("seg", F.col("start").alias("seg_start")), "seg")
+    placed = recipes.select("doc_id", "seg", "local_start", "n_tokens", "root").join(manifest.select("seg", F.col("start").alias("seg_start")), "seg", "left")
     out = placed.join(built, "root", "left")
     start = F.col("seg_start") + F.col("local_start")
     checked = F.when(F.col("n_read") == F.col("n_tokens"), F.col("n_tokens")).otherwise(F.raise_error(F.lit("a document's length differs from its recipe")).cast("long"))
