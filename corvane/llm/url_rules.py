@@ -3,6 +3,7 @@ sweep over urls and rules keeps the stack of rules whose intervals are open."""
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -11,12 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER
+from .common import LOWER, UPPER, sliced
 
 #: Sampled keys that set the bounds of partitions; they decide only how evenly the rows are dealt.
 SAMPLE_KEYS = 20_000
 ROWS_EACH = 200_000
-MAX_RULES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -49,32 +49,58 @@ def parts(url):
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def best(stack: Sequence[tuple], path: str) -> Rule | None:
-    """The longest rule of the open ones whose path fits; of equals, one that blocks."""
-    fits = [r for _, rules in stack for r in rules if path.startswith(r.path)]
+class Node:
+    """The rules of one host, by the length of their paths and by path."""
+
+    def __init__(self, key: str):
+        self.key, self.by_length = key, {}
+
+    def add(self, rule: Rule) -> None:
+        same = self.by_length.setdefault(len(rule.path), {})
+        # Of equals, one that blocks.
+        if rule.path not in same or rule.verdict == "block":
+            same[rule.path] = rule
+
+    def fitting(self, path: str) -> Iterator[Rule]:
+        for n, rules in self.by_length.items():
+            if path[:n] in rules:
+                yield rules[path[:n]]
+
+
+def best(stack: Sequence[Node], path: str) -> Rule | None:
+    """The longest rule of the open ones whose path fits; of equals that of the longer host, then one that blocks."""
+    fits = [r for node in stack for r in node.fitting(path)]
     return max(fits, key=lambda r: (len(r.name), len(r.host), r.verdict == "block"), default=None)
 
 
-def sweep(batches: Iterator[pa.RecordBatch], by_part: dict[int, list[tuple[str, list[Rule]]]], default: str) -> Iterator[pa.RecordBatch]:
-    """Urls sorted by part and key. A rule's interval is open while its key is a prefix of the url's key."""
-    now, nodes, at, stack = None, [], 0, []
-    for batch in batches:
-        ids, hosts, paths, keys, pids = (batch.column(i).to_pylist() for i in range(5))
-        rules, verdicts = [], []
-        for key, path, pid in zip(keys, paths, pids, strict=True):
-            if pid != now:
-                now, nodes, at, stack = pid, by_part.get(pid, []), 0, []
-            while at < len(nodes) and nodes[at][0] <= key:
-                while stack and not nodes[at][0].startswith(stack[-1][0]):
-                    stack.pop()
-                stack.append(nodes[at])
-                at += 1
-            while stack and not key.startswith(stack[-1][0]):
+def sweep(batches: Iterator[pa.RecordBatch], default: str) -> Iterator[pa.RecordBatch]:
+    """Rules and urls sorted by part and key, of one key the rules first. A rule's interval is open while its key is a prefix of the
+    row's key; the stack holds the open ones."""
+    now, stack = None, []
+    for batch in sliced(batches):
+        out = []
+        for part, key, is_url, page, host, path, verdict in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if part != now:
+                now, stack = part, []
+            while stack and not key.startswith(stack[-1].key):
                 stack.pop()
-            rule = best(stack, path) if stack else None
-            rules.append(rule and rule.name)
-            verdicts.append(rule.verdict if rule else default)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(rules, pa.string()), pa.array(verdicts, pa.string())], ["page_id", "host", "path", "rule", "verdict"])
+            if is_url:
+                rule = best(stack, path) if stack else None
+                out.append((page, host, path, rule and rule.name, rule.verdict if rule else default))
+            else:
+                if not stack or stack[-1].key != key:
+                    stack.append(Node(key))
+                stack[-1].add(Rule(verdict, host, path))
+        if out:
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["page_id", "host", "path", "rule", "verdict"])
+
+
+def parts_of(key: str, bounds: Sequence[str]) -> tuple[int, int]:
+    """The first and last part of a key. Part p holds the keys from bounds[p - 1] up to bounds[p]; a key that stands several times in bounds is
+    spread over those parts."""
+    first, last = bisect_left(bounds, key), bisect_right(bounds, key)
+    return (first + 1, last) if first < last else (last, last)
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow") -> DataFrame:
@@ -82,52 +108,43 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow")
     fits, else null), verdict (the rule's, else `default`).
 
     A null url, or one without ://, has an empty host and path and fits no rule but one with both empty. Repeated rows are
-    judged one by one; a null page_id stays null. No pages give no rows; other columns are ignored.
+    judged one by one; a null page_id stays null. No pages give no rows; other columns are ignored, whatever their names.
 
     Keys are dealt by ranges whose bounds come from a bounded sample. A key as frequent as several ranges gets as many
-    parts, among which its rows are dealt by hash; a rule goes to each part that its interval meets. So no host, however
-    frequent, makes a task longer, and a task holds only the rules of its own range. At most MAX_RULES rules."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
+    parts, among which its rows are dealt by hash; a rule becomes a row of each part that its interval meets, and is swept over
+    with the urls of that part. So no host, however frequent, makes a task longer, a task holds only the rules whose intervals are open,
+    and what every task gets is the list of bounds, one for each ROWS_EACH rows."""
     spark = pages.sparkSession
     host, path = parts("url")
     key = F.concat(F.array_join(F.reverse(F.split(F.col("host"), r"\.", -1)), "\0"), F.lit("\0"))
-    rows = pages.select("page_id", "url").select("page_id", host.alias("host"), path.alias("path")).withColumn("key", key)
-    n = rows.count()
+    rows = pages.select(F.col("page_id").cast("long"), "url").select("page_id", host.alias("host"), path.alias("path")).withColumn("key", key)
+    n = pages.count()
     n_parts = max(1, -(-n // ROWS_EACH))
     n_parts = max(n_parts, min(64, n // 500)) if n else 1
     share = min(1.0, SAMPLE_KEYS / n) if n else 1.0
-    drawn = sorted(r[0] for r in rows.select("key").where(F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(1 << 20)) < int(share * (1 << 20))).limit(4 * SAMPLE_KEYS).collect())
+    drawn = sorted(r[0] for r in rows.select("key").where(F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(1 << 20)) < int(share * (1 << 20))).limit(4 * SAMPLE_KEYS).collect()) if n_parts > 1 else []
     bounds = [drawn[len(drawn) * i // n_parts] for i in range(1, n_parts)] if drawn else []
-    # Part p holds the keys from bounds[p - 1] up to bounds[p], and a key that stands several times in bounds is spread over those parts.
-    spans = sorted({b: (bisect_left(bounds, b), bisect_right(bounds, b)) for b in bounds}.items())
-    table = spark.createDataFrame([(b, nxt, lo, hi) for (b, (lo, hi)), nxt in zip(spans, [x[0] for x in spans[1:]] + [None], strict=True)], "lower string, upper string, lo int, hi int") if spans else None
-    if table is not None:
-        # The table has a row for each bound, so its size follows the number of partitions.
-        find = F.expr("size(filter(bounds, b -> b <= key))")
-        only = [s[0] for s in spans]
-        cells = F.array(*[F.lit(b) for b in only])
-        lows, highs = F.array(*[F.lit(s[1][0]) for s in spans]), F.array(*[F.lit(s[1][1]) for s in spans])
-        rows = rows.withColumn("bounds", cells).withColumn("k", find).drop("bounds")
-        first, last = F.element_at(lows, F.col("k")), F.element_at(highs, F.col("k"))
-        equal = F.element_at(cells, F.col("k")) == F.col("key")
-        spread = first + 1 + F.pmod(F.xxhash64("page_id", "path"), (last - first).cast("long")).cast("int")
-        rows = rows.withColumn("part", F.when(F.col("k") == 0, 0).when(equal, spread).otherwise(last)).drop("k")
-    else:
-        rows = rows.withColumn("part", F.lit(0))
-    nodes: dict[str, list[Rule]] = {}
-    for r in rules:
-        nodes.setdefault(r.key, []).append(r)
-    by_part: dict[int, list[tuple[str, list[Rule]]]] = {}
-    for k in sorted(nodes):
-        for p in range(max(0, bisect_left(bounds, k)), bisect_right(bounds, k + "\U0010ffff") + 1):
-            by_part.setdefault(p, []).append((k, nodes[k]))
-    rules_sent = spark.sparkContext.broadcast(by_part)  # bounded by MAX_RULES and the parts that an interval meets
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            page, paths, keys = (batch.column(c).to_pylist() for c in (0, 2, 3))
+            to = []
+            for i, p, k in zip(page, paths, keys, strict=True):
+                first, last = parts_of(k, bounds)
+                to.append(first if first == last else first + zlib.crc32(f"{i} {p}".encode("utf-8", "surrogatepass")) % (last - first + 1))
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), batch.column(3), *batch.columns[:3]], ["part", "key", "page_id", "host", "path"])
+
+    urls = rows.mapInArrow(deal, "part int, key string, page_id long, host string, path string")
+    urls = urls.select("part", "key", F.lit(True).alias("is_url"), "page_id", "host", "path", F.lit(None).cast("string").alias("verdict"))
+    # A rule's interval ends before the first key that it isn't a prefix of.
+    given = [(bisect_left(bounds, r.key), bisect_right(bounds, r.key + "\U0010ffff"), r.key, r.host, r.path, r.verdict) for r in rules]
+    table = spark.createDataFrame(given, "lo int, hi int, key string, host string, path string, verdict string")
+    swept = table.select(F.explode(F.sequence("lo", "hi")).alias("part"), "key", F.lit(False).alias("is_url"), F.lit(None).cast("long").alias("page_id"), "host", "path", "verdict")
+    dealt = urls.unionByName(swept).repartition(n_parts, "part").sortWithinPartitions("part", "key", "is_url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return sweep(batches, rules_sent.value, default)
+        return sweep(batches, default)
 
-    dealt = rows.select("page_id", "host", "path", "key", "part").repartition(n_parts, "part").sortWithinPartitions("part", "key")
     return dealt.mapInArrow(run, "page_id long, host string, path string, rule string, verdict string")
 
 
