@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import filesystem, scratch, staged
+from .common import filesystem, scratch, sliced, staged
 from .encoding import default_path, encoder
 
 #: Ids in a block that one search reads.
@@ -31,7 +31,7 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
         fs, where = filesystem(path)
         fs.create_dir(where, recursive=True)
         name, out, ord_ = f"{uuid.uuid4().hex}.ids", None, 0
-        for batch in batches:
+        for batch in sliced(batches):
             if out is None:
                 out = fs.open_output_stream(f"{where}/{name}")
             for data in enc.encode([t or "" for t in batch.column(1).to_pylist()]):
@@ -101,4 +101,5 @@ def document_tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     order = write_flat(docs, path, tokenizer)
     names = [r[0] for r in order.select("file").distinct().collect()]  # one for each task that wrote
     counts = count_tokens(spark, path, names, separator(tokenizer), encoder(tokenizer).width)
-    return order.join(counts, ["file", "ord"]).select("doc_id", "n_tokens")
+    # Sort-merge at every size: both sides have a row for each document.
+    return order.join(counts.hint("merge"), ["file", "ord"]).select("doc_id", "n_tokens")
