@@ -3,6 +3,7 @@ regions that meet the bound of the edit budget are retained, and a banded alignm
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -13,13 +14,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_codes, mix, sliced
+from .common import filesystem, gram_codes, mix, scratch, sliced, staged, unique
 
 #: Characters in a q-gram and in a segment of an item, characters for each edit of the budget, diagonals from one band to the next.
 Q, SEGMENT, EACH_EDIT, STEP = 12, 96, 16, 16
 #: Characters of items in one block; a benchmark of more is searched for in several passes.
 BLOCK_CHARS = 4_000_000
 FILTER_BITS = 22
+#: Characters of texts that wait for the next block, and places of items that one stretch of a text may share q-grams with.
+HELD_CHARS, MOST_PLACES = 32_000_000, 4_000_000
 #: Segments of an item that are aligned at once.
 TOGETHER = 256
 NOT_WORD = re.compile(r"[\W_]+")
@@ -138,14 +141,38 @@ class Index:
                 np.add.at(step, hi[some] + 1, -1)
                 yield e, (k & ((1 << 40) - 1)) * STEP - self.shift, np.flatnonzero(np.cumsum(step[:-1]))
 
+    def stretches(self, grams: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Ranges of characters of a text with these q-grams that together hold each part that may align, each in one of them as a whole, and share
+        MOST_PLACES places with items at most, or are as short as they get."""
+        longest = int((self.size + self.budget).max(initial=Q))
+        n = np.zeros(len(grams), np.int64)
+        if len(self.names):
+            at = np.flatnonzero(self.filter[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+            place = np.minimum(np.searchsorted(self.names, grams[at]), len(self.names) - 1)
+            n[at] = np.where(self.names[place] == grams[at], self.first[place + 1] - self.first[place], 0)
+        upto = np.concatenate([[0], np.cumsum(n)])
+        waiting = [(0, len(grams))]
+        while waiting:
+            x, y = waiting.pop()
+            most = upto[min(y + longest, len(grams))] - upto[x]
+            if not most:
+                continue
+            if most > MOST_PLACES and y - x > longest:
+                waiting += [(x, (x + y) // 2), ((x + y) // 2, y)]
+            else:
+                yield x, min(y + longest, len(grams)) + Q - 1
+
     def leaks(self, text: str) -> list[int]:
         """The items of which the (normal) text holds a segment within its budget."""
         out = {name for name, t in self.short if t in f" {text} "} if self.short else set()
-        if len(text) >= Q:
-            chars = points(text)
-            for e, diag, starts in self.regions(gram_codes(mix(chars.astype(np.uint64) + np.uint64(1)), Q)):
-                if self.name[e] not in out and aligned(points(self.whole[e]), starts, int(self.size[e]), chars, diag, STEP + self.span, int(self.budget[e])):
-                    out.add(self.name[e])
+        if len(text) >= Q and len(self.names):
+            whole = points(text)
+            grams = gram_codes(mix(whole.astype(np.uint64) + np.uint64(1)), Q)
+            for x, y in self.stretches(grams):
+                chars = whole[x:y]
+                for e, diag, starts in self.regions(grams[x : y - Q + 1]):
+                    if self.name[e] not in out and aligned(points(self.whole[e]), starts, int(self.size[e]), chars, diag, STEP + self.span, int(self.budget[e])):
+                        out.add(self.name[e])
         return sorted(out)
 
 
@@ -188,40 +215,73 @@ def aligned(item: np.ndarray, starts: np.ndarray, size: int, chars: np.ndarray,
     return False
 
 
-def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of BLOCK_CHARS; the driver holds one at a time."""
-    block, size = [], 0
-    items = benchmark.where("text IS NOT NULL").select(F.coalesce(F.col("item_id").cast("long"), F.lit(-1).cast("long")), "text")
-    for name, text in items.toLocalIterator():
-        block.append((name, text))
-        size += len(text)
-        if size >= BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def write_indexes(benchmark: DataFrame, path: str) -> list[str]:
+    """Indexes items in blocks of about BLOCK_CHARS, each by a task, and writes an index to a file in path. Returns the files' names."""
+    items = benchmark.where("text IS NOT NULL").select(F.coalesce(F.col("item_id").cast("long"), F.lit(-1).cast("long")).alias("item_id"), "text")
+    n_chars = items.agg(F.coalesce(F.sum(F.char_length("text").cast("long")), F.lit(0))).first()[0]
+    n_blocks = max(1, -(-n_chars // BLOCK_CHARS))
 
+    def index(block: pa.Table) -> pa.Table:
+        name = f"{unique()}.index"
+        fs, where = filesystem(path)
+        fs.create_dir(where, recursive=True)
+        made = Index.of(zip(block["item_id"].to_pylist(), block["text"].to_pylist(), strict=True))
+        with fs.open_output_stream(f"{where}/{name}") as f:
+            f.write(pickle.dumps(made, protocol=5))
+        return pa.table({"name": [name]})
 
-def flag(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs with item_ids, the sorted ids of the items that each text holds, after its columns. docs must have no column of that name."""
-    spark = docs.sparkSession
-    at = docs.columns.index("text")
-    out = docs.withColumn("item_ids", F.array().cast("array<long>"))
-    schema = out.schema
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))).repartition(min(n_blocks, 10_000), "block")
+    return sorted(r[0] for r in staged(dealt.groupBy("block").applyInArrow(index, "name string"), f"{path}/names").collect())  # a name for each block
+
+
+_loaded: dict[str, Index] = {}
 
-    def finder(index):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in sliced(batches):
-                texts, before = b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()
-                found = [sorted({*old, *index.value.leaks(normal(t))}) for t, old in zip(texts, before, strict=True)]
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.list_(pa.int64()))], b.schema.names)
 
-        return run
+def load_index(path: str, name: str) -> Index:
+    """An index; a worker process keeps the latest one."""
+    if name not in _loaded:
+        _loaded.clear()
+        fs, where = filesystem(path)
+        with fs.open_input_file(f"{where}/{name}") as f:
+            _loaded[name] = pickle.loads(f.read())
+    return _loaded[name]
 
-    # One pass over a batch of documents for each block.
-    for block in blocks_of(benchmark):
-        out = out.mapInArrow(finder(spark.sparkContext.broadcast(Index.of(block))), schema)
-    return out
+
+def flag(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """docs with item_ids, the sorted ids of the items that each text holds, after its columns; a column of that name gives way to it.
+
+    One pass. If the benchmark makes several blocks, texts wait until HELD_CHARS of them are there, and go through block after block."""
+    path = scratch(docs.sparkSession, "benchmark")
+    names = write_indexes(benchmark, path)
+    docs = docs.select(*[c for c in docs.columns if c.lower() != "item_ids"])
+    at = docs.columns.index("text")
+    most = HELD_CHARS if len(names) > 1 else 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[pa.RecordBatch, list[str], list[set[int]]]] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for name in names:
+                index = load_index(path, name)
+                for _, texts, found in held:
+                    for t, own in zip(texts, found, strict=True):
+                        own.update(index.leaks(t))
+            for b, _, found in held:
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(map(sorted, found)), pa.list_(pa.int64()))], [*b.schema.names, "item_ids"])
+            held.clear()
+
+        for b in sliced(batches):
+            texts = [normal(t) for t in b.column(at).to_pylist()]
+            held.append((b, texts, [set() for _ in texts]))
+            size += sum(map(len, texts))
+            if size >= most:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+    schema = docs.withColumn("item_ids", F.array().cast("array<long>")).schema
+    return docs.mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -230,8 +290,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     each EACH_EDIT characters, after `normal` on both sides. Items of under Q characters must stand as whole words.
 
     A null or empty text holds no item; a null or empty item is in no text; an item without an id is -1. Items of one id are one item. Repeated
-    rows are judged one by one, a null doc_id stays null. No items: nothing is contaminated. Extra columns are ignored.
+    rows are judged one by one, a null doc_id stays null. No items: nothing is contaminated. Extra columns are ignored, whatever their names.
 
-    The benchmark is a query set: a block of it, of bounded size, is indexed and sent to all tasks, and documents stay where they are."""
+    The benchmark is a query set: blocks of it, of bounded size, are indexed by tasks and written to shared files. Documents stay where they are, and a
+    task holds one block's index at a time. Of a text it holds a stretch at a time, as long as its q-grams allow."""
     out = flag(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
     return out.select("doc_id", "item_ids", F.size("item_ids").cast("long").alias("n_items"), (F.size("item_ids") > 0).alias("contaminated"))
