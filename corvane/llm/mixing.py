@@ -12,7 +12,8 @@ from .common import WORD, scratch, staged
 
 #: Hexadecimal digits of a document's hash that one level of the histogram reads, and levels.
 DIGITS, LEVELS = 3, 5
-MAX_SOURCES = 100_000
+#: Sources whose table is sent to all tasks.
+MOST_SENT = 100_000
 
 
 def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, cap: float) -> list[float]:
@@ -42,21 +43,27 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), epochs: f
     below the source's threshold: the most that fit in what remains of its target.
 
     A null text has size 0. A null doc_id is hashed by its text. Rows of one doc_id share a hash and are taken together.
-    A null source is a source of its own. No documents give no rows. Sources are bounded by MAX_SOURCES (an error beyond).
+    A null source is a source of its own. No documents give no rows. The driver plans with a row for each source. Extra columns are
+    ignored, whatever their names.
     Sizes and hashes are staged once; each level is a sum by (source, next digits), partly summed before its shuffle."""
     rows, final = _thresholds(docs, weights, epochs, cap)
-    out = rows.join(F.broadcast(final), rows["source"].eqNullSafe(final["src"]))
+    out = rows.join(final, rows["source"].eqNullSafe(final["src"]))
     copies = F.col("full") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0)
     return out.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), epochs: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """The rows of docs, with all their columns, as often as mix_sources takes them. Documents of size 0 count as the others.
-    docs must have no columns named src, source_size, target, full or threshold."""
+    """The rows of docs, with all their columns, as often as mix_sources takes them. Documents of size 0 count as the others."""
     _, final = _thresholds(docs, weights, epochs, cap)
-    out = docs.join(F.broadcast(final), docs["source"].eqNullSafe(final["src"]))
-    copies = F.col("full") + F.when(_hash() < F.col("threshold"), 1).otherwise(0)
-    return out.withColumn("src", F.explode(F.array_repeat(F.lit(""), copies.cast("int")))).select(*docs.columns)
+    final = final.select(F.col("src").alias("_mixing_src"), F.struct("full", "threshold").alias("_mixing_plan"))
+    out = docs.withColumn("_mixing_hash", _hash()).join(final, docs["source"].eqNullSafe(final["_mixing_src"]))
+    copies = F.col("_mixing_plan.full") + F.when(F.col("_mixing_hash") < F.col("_mixing_plan.threshold"), 1).otherwise(0)
+    return out.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("_mixing_copy")).select(*docs.columns)
+
+
+def _sent(table: DataFrame, n: int) -> DataFrame:
+    """A table with a row for each of n sources: sent to all tasks while these are MOST_SENT at most, else joined by sort-merge."""
+    return F.broadcast(table) if n <= MOST_SENT else table.hint("merge")
 
 
 def _thresholds(docs: DataFrame, weights: Sequence[float], epochs: float, cap: float) -> tuple[DataFrame, DataFrame]:
@@ -65,9 +72,7 @@ def _thresholds(docs: DataFrame, weights: Sequence[float], epochs: float, cap: f
     at = scratch(spark, "mixing")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
     rows = staged(docs.select("doc_id", "source", size.alias("size"), _hash().alias("h")), f"{at}/sizes")
-    totals = rows.groupBy("source").agg(F.sum("size").alias("s")).limit(MAX_SOURCES + 1).collect()
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    totals = rows.groupBy("source").agg(F.sum("size").alias("s")).collect()
     totals.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-32-be")))
     sizes = [int(r["s"]) for r in totals]
     goals = water_fill(sizes, [float(weights[i % len(weights)]) for i in range(len(sizes))], epochs * sum(sizes), cap) if sizes else []
@@ -78,10 +83,13 @@ def _thresholds(docs: DataFrame, weights: Sequence[float], epochs: float, cap: f
     columns = "source string, source_size long, target double, full int, room double, prefix string"
     table = spark.createDataFrame(plan, columns)
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    # The table has a row for each source, at most MAX_SOURCES, so it may be sent to all executors.
+    left = rows
     for level in range(LEVELS):
-        t = F.broadcast(table)
-        within = rows.join(t, same(rows, t) & rows["h"].startswith(t["prefix"])).select(t["source"], "prefix", "room", F.substring("h", 1 + level * DIGITS, DIGITS).alias("b"), "size")
+        t = _sent(table, len(plan))
+        if level == 1:
+            # Only the boundary buckets of the first level are refined, about one row in 16 ** DIGITS.
+            left = staged(left.join(t, same(left, t) & left["h"].startswith(t["prefix"]) & (F.length(t["prefix"]) == DIGITS)).select(left["source"], left["size"], left["h"]), f"{at}/boundary")
+        within = left.join(t, same(left, t) & left["h"].startswith(t["prefix"])).select(t["source"], "prefix", "room", F.substring("h", 1 + level * DIGITS, DIGITS).alias("b"), "size")
         hist = within.groupBy("source", "prefix", "room", "b").agg(F.sum("size").alias("n"))
         upto = Window.partitionBy("source").orderBy("b")
         cum = hist.withColumn("upto", F.sum("n").over(upto))
@@ -98,7 +106,7 @@ def _thresholds(docs: DataFrame, weights: Sequence[float], epochs: float, cap: f
         table = spark.createDataFrame(plan, columns)
     # A source without a boundary has room for all; otherwise hashes below the boundary are in. At the last level the boundary bucket is one hash.
     final = spark.createDataFrame([(a, b, c, d, p if p else "g") for a, b, c, d, _, p in plan], "src string, source_size long, target double, full int, threshold string")
-    return rows, final
+    return rows, _sent(final, len(plan))
 
 
 
