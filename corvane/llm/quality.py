@@ -13,9 +13,13 @@ from pyspark.sql import DataFrame
 from .common import WORD_RE, arrow_map
 
 SYMBOLS = "#*$%&|<>"
+#: Phrases of notices and page furniture in the corpus's four languages (English, German, French, Spanish).
 BOILERPLATE = (
     r"(?i)(cookie policy|privacy policy|terms of (use|service)|all rights reserved|enable javascript|skip to (main )?content|"
-    r"subscribe to our newsletter|sign up for|powered by|click here|lorem ipsum)"
+    r"subscribe to our newsletter|sign up for|powered by|click here|lorem ipsum|"
+    r"cookie-richtlinie|datenschutzerklärung|nutzungsbedingungen|alle rechte vorbehalten|javascript aktivieren|zum inhalt springen|newsletter abonnieren|"
+    r"politique de confidentialité|politique (de|des|en matière de) cookies|conditions d.utilisation|mentions légales|tous droits réservés|activer javascript|aller au contenu|abonnez-vous à notre|cliquez ici|"
+    r"política de (privacidad|cookies)|términos (de uso|y condiciones)|aviso legal|todos los derechos reservados|activar javascript|saltar al contenido|suscríbete a nuestro|haga clic aquí)"
 )
 SYMBOL_RE, BANGS_RE, NAV_RE, END_RE = re.compile(r"[#*$%&|<>]"), re.compile(r"!!|\?\?|\.\.\.\."), re.compile(r"[|>]"), re.compile(r"[.!?:;,\"')\]}…]$")
 BOILERPLATE_RE = re.compile(BOILERPLATE)
@@ -147,7 +151,7 @@ lj AS (SELECT doc_id, n, len(lw) AS k, length(array_to_string(lw, '')) AS chars,
          len(regexp_extract_all(l, '[|>]')) AS nav, len(regexp_extract_all(l, '[#*$%&|<>]')) AS sym,
          len(regexp_extract_all(l, '!!|\?\?|\.\.\.\.')) AS bang,
          regexp_matches(rtrim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[.!?:;,"'')\]}…]$') AS ended,
-         regexp_matches(l, '(?i)(cookie policy|privacy policy|terms of (use|service)|all rights reserved|enable javascript|skip to (main )?content|subscribe to our newsletter|sign up for|powered by|click here|lorem ipsum)') AS boiler
+         regexp_matches(l, '{boilerplate}') AS boiler
        FROM ln WHERE len(lw) > 0),
 s AS (SELECT doc_id, sum(chars) AS word_chars, sum(dup::INT) AS n_dup_lines, sum(bad::INT) AS n_bad_lines, sum(CASE WHEN bad THEN chars ELSE 0 END) AS lost_chars
       FROM (SELECT *, (nav >= 2 AND 100 * nav > 30 * k) OR 100 * sym > 50 * k OR 100 * bang > 50 * k OR (k < 4 AND NOT ended) OR boiler AS bad FROM lj) GROUP BY doc_id),
@@ -157,4 +161,4 @@ a AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGI
       FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN s USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM a)
 SELECT *, NOT base_failed AND 100 * lost_chars <= 50 * word_chars AS kept FROM b
-"""
+""".replace("{boilerplate}", BOILERPLATE)
