@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCodes, ascii_lower, gram_codes, mix, scratch, staged, words_of
+from .common import WordCodes, byte_words, gram_codes, mix, scratch, sliced, staged
 from .graph import components
 
 #: Words in a shingle; links need 100 * intersection >= SIMILAR * union.
@@ -33,7 +33,7 @@ _FACTORS = (mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E377
 
 def shingles(text: str | None, codes: WordCodes) -> np.ndarray:
     """The sorted distinct 64-bit codes of a text's shingles of WIDTH words; a shorter text is one shingle."""
-    words = words_of(ascii_lower(text)) if text else []
+    words = byte_words(text, lower=True)
     if not words:
         return np.empty(0, np.uint64)
     return np.unique(gram_codes(codes(words), min(WIDTH, len(words))))
@@ -94,7 +94,7 @@ def sketch_table(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
-        for batch in batches:
+        for batch in sliced(batches):
             size, node, regs = [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingles(text, codes)
@@ -147,7 +147,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, known = WordCodes(), {}
-        for b in batches:
+        for b in sliced(batches):
             keep = []
             for v, tu, tv in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 if (v, len(tv or "")) not in known or known[v, len(tv or "")][0] != tv:  # pairs of one centre follow one another
@@ -158,13 +158,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, path: str) -> DataFrame:
     return staged(joined.mapInArrow(run, "u long, v long").distinct(), f"{path}/links")
 
 
-def _groups(met: DataFrame, labels: DataFrame) -> DataFrame:
+def _groups(met: DataFrame, labels: DataFrame, path: str) -> DataFrame:
     """(key, nid, lab) of the nodes that met one centre, for centres whose nodes lie in different components."""
     rows = met.select(F.col("center").alias("key"), "nid").distinct()
     rows = rows.join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("key", "nid", F.coalesce("root", "nid").alias("lab"))
     # Two nodes of one group are a node and its centre, which have been compared.
+    rows = staged(rows, f"{path}/labelled")
     several = rows.groupBy("key").agg(F.min("lab").alias("a"), F.max("lab").alias("b"), F.count(F.lit(1)).alias("c")).where("a <> b AND c > 2").select("key")
-    return rows.join(several, "key", "left_semi")
+    # Both sides are written first, so that a hot key's rows can be split between the tasks of the join.
+    return rows.join(staged(several, f"{path}/several").hint("merge"), "key", "left_semi")
 
 
 def _block_pairs(rows: DataFrame, size: int, path: str) -> DataFrame:
@@ -256,7 +258,7 @@ def _dense_links(rows: DataFrame, docs: DataFrame, path: str) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
-        for b in batches:
+        for b in sliced(batches):
             own = [shingles(t, codes) for t in b.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([len(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], ["key", "nid", "lab", "n", "load"])
 
@@ -316,7 +318,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tried = staged(_promising(met.where("nid <> center").select(F.col("nid").alias("u"), F.col("center").alias("v")).distinct(), nodes), f"{at}/tried")
     links = _confirmed(tried, docs, f"{at}/first").unionAll(tied)
     labels = components(links, f"{at}/components")
-    left = staged(_groups(met, labels), f"{at}/left")
+    left = staged(_groups(met, labels, f"{at}/groups"), f"{at}/left")
     if left.limit(1).count():
         crossing = staged(_crossing(left, nodes, f"{at}/compared"), f"{at}/crossing")
         dense = staged(crossing.where("u IS NULL").select("key").distinct(), f"{at}/dense")
