@@ -138,8 +138,12 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBa
     return df.mapInArrow(run, schema)
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD_RE.findall(text) if text else []
+def byte_words(text: str | None, lower: bool = False) -> list[bytes]:
+    """The words `[^\\x20\\x09-\\x0D]+` of a text in UTF-8, with `lower` with A-Z lower-cased: bytes are split at just these six characters."""
+    if not text:
+        return []
+    data = text.encode("utf-8", "surrogatepass")
+    return (data.translate(_LOWERED) if lower else data).split()
 
 
 def ascii_lower(text: str) -> str:
@@ -164,14 +168,14 @@ class WordCodes:
     def __init__(self, bound: int = 100_000):
         self.bound, self.known = bound, {}
 
-    def __call__(self, words: list[str]) -> np.ndarray:
+    def __call__(self, words: list[bytes]) -> np.ndarray:
         known = self.known
         if len(known) > self.bound:
             known.clear()
         found = list(map(known.get, words))
         for k in gaps(found):
             w = words[k]
-            found[k] = known[w] = xxhash.xxh3_64_digest(w.encode("utf-8", "surrogatepass"))
+            found[k] = known[w] = xxhash.xxh3_64_digest(w)
         return np.frombuffer(b"".join(found), ">u8").astype(np.uint64)
 
 

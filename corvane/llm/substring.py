@@ -11,11 +11,11 @@ from itertools import repeat
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCodes, gram_codes, scratch, staged, words_of
-from .parts import code_lists, dealt, pack, read_part
+from .common import WordCodes, byte_words, gram_codes, scratch, staged
+from .parts import MOST_TASKS, code_lists, dealt, pack, read_part
 
 #: Words in a window, and in the phrase that stands for it: the one of least hash among the window's phrases.
 WINDOW, PHRASE = 35, 8
@@ -23,6 +23,15 @@ WINDOW, PHRASE = 35, 8
 FEW = 4
 #: Bits of a place within a part.
 PLACE = 31
+HALF = np.uint64(32)
+
+
+def high(c: str) -> Column:
+    return F.shiftrightunsigned(c, 32)
+
+
+def low(c: str) -> Column:
+    return F.col(c).bitwiseAND(0xFFFFFFFF)
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -68,22 +77,22 @@ def member(x: np.ndarray, names: np.ndarray) -> np.ndarray:
     return names[np.minimum(np.searchsorted(names, x), len(names) - 1)] == x
 
 
-def sha(words: list[str]) -> str:
-    return hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).hexdigest()
+def sha(words: list[bytes]) -> str:
+    return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
 class PhraseAutomaton:
     """An automaton over word numbers for whole phrases; words that no phrase has are number 0."""
 
-    def __init__(self, phrases: list[list[str]]):
-        self.words: dict[str, int] = {}
+    def __init__(self, phrases: list[list[bytes]]):
+        self.words: dict[bytes, int] = {}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         for words in phrases:
             self.automaton.add_word(tuple([self.words.setdefault(w, len(self.words) + 1) for w in words]), len(words))
         if phrases:
             self.automaton.make_automaton()
 
-    def covered(self, words: list[str]) -> np.ndarray | None:
+    def covered(self, words: list[bytes]) -> np.ndarray | None:
         """Which words lie in an occurrence of a phrase; None if none does."""
         if not self.words:
             return None
@@ -101,15 +110,16 @@ def describer(window: int):
     codes = WordCodes()
 
     def describe(texts: list[str | None]) -> tuple[list[int], list[np.ndarray]]:
-        words = [words_of(t) for t in texts]
+        words = [byte_words(t) for t in texts]
         return [len(w) for w in words], [suspects(codes(w), window) if len(w) >= window else np.empty(0, np.uint64) for w in words]
 
     return describe
 
 
 def suspect_windows(part: pa.Table, p: int, hits: np.ndarray, window: int) -> list[np.ndarray]:
-    """anchor, code, number, first place, word before and word after of each distinct window of a part whose anchor is among the sorted hits. A
-    word is 0 at a text's edge and where the part has several."""
+    """A row of four numbers for each distinct window of a part whose anchor is among the sorted hits: its code, 32 bits of its anchor over the
+    number of its places, its first place in all parts, and 32 bits each of the words before and after it. These are 0 at a text's edge and where the
+    part has several."""
     own, first = code_lists(part["codes"])
     some = np.concatenate([[0], np.cumsum(member(own, hits))])
     some = some[first[1:]] > some[first[:-1]]
@@ -117,21 +127,22 @@ def suspect_windows(part: pa.Table, p: int, hits: np.ndarray, window: int) -> li
     starts = np.cumsum(n) - n
     codes, out = WordCodes(), []
     for i in np.flatnonzero(some).tolist():
-        c = codes(words_of(part["text"][i].as_py()))
+        c = codes(byte_words(part["text"][i].as_py()))
         anchor, _ = anchors(c, window)
         at = np.flatnonzero(member(anchor, hits))
         if len(at):
-            around = np.concatenate([[0], c, [0]]).astype(np.uint64)
+            around = np.concatenate([[0], c, [0]]).astype(np.uint64) >> np.uint64(32)
             out.append((anchor[at], gram_codes(c, window)[at], starts[i] + at, around[at], around[at + window + 1]))
     if not out:
-        return [np.empty(0, np.int64)] * 6
+        return [np.empty(0, np.int64)] * 4
     a, w, place, before, after = map(np.concatenate, zip(*out, strict=True))
     order = np.lexsort((w, a))  # keeps equal windows in the order of their places
     a, w, place, before, after = (x[order] for x in (a, w, place, before, after))
     edge = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (w[1:] != w[:-1])]))
     one = lambda x: np.where(np.minimum.reduceat(x, edge) == np.maximum.reduceat(x, edge), x[edge], 0)
-    number = np.diff(np.append(edge, len(a)))
-    return [x.astype(np.uint64, copy=False).view(np.int64) for x in (a[edge], w[edge], number, (np.int64(p) << PLACE) + place[edge], one(before), one(after))]
+    number = np.minimum(np.diff(np.append(edge, len(a))), 2).astype(np.uint64)
+    rows = (w[edge], a[edge] >> HALF << HALF | number, (np.int64(p) << PLACE) + place[edge], one(before) << HALF | one(after))
+    return [x.astype(np.uint64, copy=False).view(np.int64) for x in rows]
 
 
 def passages(part: pa.Table, places: np.ndarray, before: np.ndarray, after: np.ndarray, window: int) -> list[tuple[int, int, str]]:
@@ -148,23 +159,23 @@ def passages(part: pa.Table, places: np.ndarray, before: np.ndarray, after: np.n
     codes, now, words, c, out = WordCodes(), -1, [], None, []
     for d, x, y in zip(doc[firsts].tolist(), places[firsts].tolist(), places[lasts].tolist(), strict=True):
         if d != now:
-            now, words = d, words_of(part["text"][d].as_py())
+            now, words = d, byte_words(part["text"][d].as_py())
         start = x - int(ends[d] - n[d])
         own = words[start : start + y - x + window]
         c = codes(own[:window])
-        out.append((int(anchors(c, window)[0].view(np.int64)[0]), int(gram_codes(c, window).view(np.int64)[0]), " ".join(own)))
+        out.append((int(anchors(c, window)[0].view(np.int64)[0]), int(gram_codes(c, window).view(np.int64)[0]), b" ".join(own).decode("utf-8", "surrogatepass")))
     return out
 
 
 def cleaned(ids: list, texts: list, phrases: list[str], with_text: bool) -> pa.Table:
     """What is left of a part's texts when the automaton of these phrases has gone over all of them."""
-    auto, out = PhraseAutomaton([p.split(" ") for p in phrases]), []
+    auto, out = PhraseAutomaton([byte_words(p) for p in phrases]), []
     for i, text in zip(ids, texts, strict=True):
-        kept = words = words_of(text)
+        kept = words = byte_words(text)
         gone = auto.covered(words)
         if gone is not None:
             kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-        out.append((i, len(words), len(words) - len(kept), sha(kept), " ".join(kept) if with_text else None))
+        out.append((i, len(words), len(words) - len(kept), sha(kept), b" ".join(kept).decode("utf-8", "surrogatepass") if with_text else None))
     cols = list(zip(*out, strict=True)) or [[]] * 5
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
@@ -181,21 +192,22 @@ def confirmed(docs: DataFrame, path: str, window: int = WINDOW) -> tuple[DataFra
     hits = staged(occ.join(again.hint("merge"), "a").distinct(), f"{path}/hits")
 
     def windows(wanted: DataFrame) -> DataFrame:
-        """(a, w, n, place, before, after) of the windows whose anchors are wanted (p, a)."""
+        """(w, an, place, around) of the windows whose anchors are wanted (p, a), as suspect_windows gives them."""
         lists = wanted.groupBy("p").agg(F.collect_list("a").alias("hits"))  # bounded by the anchors of a part
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for p, file, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                     found = suspect_windows(read_part(path, file, ["text", "n", "codes"]), p, np.sort(own.values.to_numpy().view(np.uint64)), window)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "w", "n", "place", "before", "after"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["w", "an", "place", "around"])
 
         listed = files.join(lists.hint("merge"), "p").select("p", "file", "hits")
-        return dealt(listed, n_parts).mapInArrow(run, "a long, w long, n long, place long, before long, after long")
+        return dealt(listed, n_parts).mapInArrow(run, "w long, an long, place long, around long")
 
-    # Anchor and code make 128 bits; windows with one anchor are few enough to be told apart by the code alone.
+    # Rows are packed for their shuffle. Code and anchor make 96 bits; windows with one anchor are few enough to be told apart by the code alone.
+    rows = windows(hits).repartition(max(1, min(n_parts, MOST_TASKS)), "w").withColumns({"a": high("an"), "n": low("an"), "before": high("around"), "after": low("around")})
     many = lambda c: ((F.min(c) != F.max(c)) | (F.min(c) == 0)).alias(c)
-    counts = windows(hits).groupBy("a", "w").agg(F.sum("n").alias("n"), F.min("place").alias("place"), many("before"), many("after")).where("n > 1")
+    counts = rows.groupBy("w", "a").agg(F.sum("n").alias("n"), F.min("place").alias("place"), many("before"), many("after")).where("n > 1")
     split = counts.select(F.shiftright("place", PLACE).alias("p"), F.col("place").bitwiseAND((1 << PLACE) - 1).alias("place"), "before", "after")
     recurring = staged(split, f"{path}/recurring")
 
@@ -212,8 +224,9 @@ def confirmed(docs: DataFrame, path: str, window: int = WINDOW) -> tuple[DataFra
     routed = found.join(busy.hint("merge"), "a", "left_anti").hint("merge").join(hits, "a").select("p", "words")
     if busy.limit(1).count():
         # Anchors with many passages: these go only to the parts that have their first windows.
-        own = staged(windows(hits.join(busy.hint("merge"), "a", "left_semi")).select("a", "w", F.shiftright("place", PLACE).alias("p")), f"{path}/busy-windows")
-        routed = routed.unionByName(own.hint("merge").join(found.join(busy.hint("merge"), "a", "left_semi"), ["a", "w"]).select("p", "words"))
+        own = staged(windows(hits.join(busy.hint("merge"), "a", "left_semi")).select("w", high("an").alias("h"), F.shiftright("place", PLACE).alias("p")), f"{path}/busy-windows")
+        many_of = found.join(busy.hint("merge"), "a", "left_semi").select("w", high("a").alias("h"), "words")
+        routed = routed.unionByName(own.hint("merge").join(many_of, ["w", "h"]).select("p", "words"))
     return files, staged(routed, f"{path}/routed"), n_parts
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from corvane.llm import common, decontam, encoding, graph, langid, line_dedup, mixing, near_dedup, quality, substring, token_count, token_store, url_rules
+from corvane.llm import common, decontam, encoding, graph, langid, line_dedup, mixing, near_dedup, parts, quality, substring, token_count, token_store, url_rules
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node string, p int, rid long, key string, n_words long"
 LONG = " ".join(f"w{i % 5000}" for i in range(60_000))
@@ -57,7 +57,7 @@ def test_repeated_words_by_brute_force(seed):
     assert quality.repeated_words(words, 5) == len(want)
 
 
-@pytest.mark.parametrize(("line", "fault"), [("Home | News | About | Contact", "navigation"), ("Menu", "navigation"), ("A plain sentence, of some words.", None), ("w### x$$$ y%%% z", "punctuation"), ("Please read our Privacy Policy before you go on.", "boilerplate")])
+@pytest.mark.parametrize(("line", "fault"), [("Home | News | About | Contact", "navigation"), ("Menu", "navigation"), ("A plain sentence, of some words.", None), ("w### x$$$ y%%% z", "punctuation"), ("Alle Rechte vorbehalten, auch die der Übersetzung.", "boilerplate"), ("Voir les Conditions d'utilisation du site ici.", "boilerplate"), ("Lea nuestra política de privacidad antes de seguir.", "boilerplate"), ("Please read our Privacy Policy before you go on.", "boilerplate")])
 def test_line_rules(line, fault):
     assert quality.line_fault(line, len(line.split()), quality.LineRules()) == fault
 
@@ -389,6 +389,29 @@ def test_store_finds_changed_recipes(spark, docs, tmp_path):
         for reader in (token_store.store_digests, token_store.read_ids):
             with pytest.raises(ValueError, match="segment"):
                 read(changed, reader)
+    read(rows)
+    manifest, own = (f(spark.read.parquet(f"{path}/manifest")) for f in (lambda x: x.collect(), lambda x: x.schema))
+    common.delete(spark, f"{path}/manifest")
+    # A segment that is gone altogether, from the recipes and the manifest.
+    last = max(r["seg"] for r in manifest)
+    spark.createDataFrame([r for r in manifest if r["seg"] != last], own).coalesce(1).write.parquet(f"{path}/manifest")
+    for reader in (token_store.store_digests, token_store.read_ids):
+        with pytest.raises(ValueError, match="segment"):
+            read([r for r in rows if r["seg"] != last], reader)
+
+
+def test_store_trees_of_several_levels(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_store, "GROUP", 3)
+    path = str(tmp_path / "store")
+    token_store.write_store(spark.range(60).selectExpr("id AS doc_id", "concat('text ', id) AS text").coalesce(1), path)
+    assert [r["doc_id"] for r in token_store.store_digests(spark, path).orderBy("start").collect()] == list(range(60))
+    chunks = spark.read.parquet(f"{path}/chunks")
+    kept = chunks.orderBy("hash").limit(chunks.count() - 1).collect()
+    common.delete(spark, f"{path}/chunks")
+    spark.createDataFrame(kept, chunks.schema).write.parquet(f"{path}/chunks")
+    for reader in (token_store.store_digests, token_store.read_ids):
+        with pytest.raises(Exception, match="lacks a chunk"):
+            reader(spark, path).collect()
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -452,8 +475,7 @@ def test_lines(docs, none):
 def test_lines_by_brute_force(spark, monkeypatch, first, bits):
     """Also with filters so small that they suspect every line."""
     if bits == 8:
-        monkeypatch.setattr(line_dedup, "SLICE_BITS", 8)
-        monkeypatch.setattr(line_dedup, "MOST_BITS", 8)
+        monkeypatch.setattr(line_dedup, "filter_plan", lambda n: (1, 8))
     rnd = random.Random(4)
     texts = {i: "\n".join(rnd.choice(["Same", " same\t", "b", "", "C c", f"u{i}", "d"]) for _ in range(rnd.randrange(1, 8))) for i in range(30)}
     where = {}
@@ -467,3 +489,25 @@ def test_lines_by_brute_force(spark, monkeypatch, first, bits):
     for i, t in texts.items():
         assert got[i]["kept_text"] == "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone)
         assert got[i]["kept_sha256"] == sha(got[i]["kept_text"])
+
+
+def test_few_lines_are_suspected_at_every_size(spark, monkeypatch, tmp_path):
+    """With filters of 512 bytes, many ranges of hashes keep the share of wrong suspects as small as one range does."""
+    texts = [(i, "\n".join([f"line {i} {j}" for j in range(100)] + ["shared"] * (i % 10 == 0))) for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    for k, bits in enumerate((1 << 12, 1 << 26)):
+        monkeypatch.setattr(line_dedup, "SHARD_BITS", bits)
+        at = str(tmp_path / str(k))
+        parts_ = parts.pack(docs, at, lambda: line_dedup.describer(1), lambda c: c[:0])
+        n_parts, n_hashes = parts_.count(), parts_.agg(F.sum("n_codes")).first()[0]
+        assert n_hashes == 20_020 and line_dedup.filter_plan(n_hashes)[0] == (59 if bits == 1 << 12 else line_dedup.LEAST_SHARDS)
+        hits = line_dedup.suspected(parts_, at, n_parts, n_hashes).collect()
+        assert np.int64(np.uint64(line_dedup.key_hash("shared"))) in {r["h"] for r in hits}
+        assert len(hits) < 0.02 * n_hashes
+
+
+def test_lines_of_repeated_ids_are_of_one_document(spark):
+    rows = [(1, "a\nb"), (1, "b\na\nc"), (2, "a"), (None, "c\nq"), (None, "q\nc")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), min_docs=2, keep_first=False).collect()
+    # a is in documents 1 and 2, c in 1 and the one without an id; b and q in one document each
+    assert sorted((r["doc_id"] or 0, r["kept_text"]) for r in got) == [(0, "q"), (0, "q"), (1, "b"), (1, "b"), (2, "")]
