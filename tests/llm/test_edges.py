@@ -511,3 +511,149 @@ def test_lines_of_repeated_ids_are_of_one_document(spark):
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), min_docs=2, keep_first=False).collect()
     # a is in documents 1 and 2, c in 1 and the one without an id; b and q in one document each
     assert sorted((r["doc_id"] or 0, r["kept_text"]) for r in got) == [(0, "q"), (0, "q"), (1, "b"), (1, "b"), (2, "")]
+
+
+def test_language_query_equals_walking_the_trees(spark):
+    """The whole operator against trees walked byte by byte: who is learned from, all code lengths, the choice and the score."""
+    import zlib
+
+    rnd = random.Random(11)
+    stems = {"aa": ["the", "cat", "mat", "sat", "on"], "bb": ["der", "hund", "und", "die", "katze"], "cc": ["le", "chien", "à", "été", "où"]}
+    rows = [(i, " ".join(rnd.choice(stems[x]) for _ in range(rnd.randrange(1, 12))), x) for i, x in enumerate(["aa", "aa", "bb", "bb", "cc", "cc"] * 8)]
+    rows += [(100, None, "aa"), (101, "12 34", "bb"), (102, "The DER le", None), (103, "zzz qqq", "cc"), (None, "katze und hund", "bb"), (7, "chien où", "cc")]
+    held = [zlib.crc32(str("" if i is None else i).encode()) % 3 == 1 for i, _, _ in rows]
+    trees = {}
+    for (_, text, lang), h in zip(rows, held, strict=True):
+        if text and lang and not h:
+            p = b"\0\0\0" + text.lower().encode()
+            for i in range(3, len(p)):
+                for order in range(4):
+                    f = trees.setdefault(lang, [{}, {}, {}, {}])[order].setdefault(p[i - order : i], {})
+                    f[p[i]] = f.get(p[i], 0) + 1
+    want = []
+    for (i, text, _), h in zip(rows, held, strict=True):
+        if not text or not any(map(str.isalpha, text)):
+            want.append((i, h, "und", 0.0))
+            continue
+        data = text.lower().encode()
+        bits = {x: plain_bits(trees[x], data) for x in sorted(trees)}
+        best = min(bits, key=lambda x: (bits[x], x))
+        share = 1 / sum(2 ** (bits[best] - b) for b in bits.values())
+        want.append((i, h, best, share / (1 + 4 ** (bits[best] / len(data) - 8))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = [(r["doc_id"], r["held_out"], r["lang_pred"], r["score"]) for r in langid.language_id(docs).collect()]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[2], r[3])
+    assert [r[:3] for r in sorted(got, key=key)] == [r[:3] for r in sorted(want, key=key)]
+    assert np.allclose([r[3] for r in sorted(got, key=key)], [r[3] for r in sorted(want, key=key)], atol=1e-3)
+
+
+def test_texts_of_no_learned_language_score_low(spark, sf_dir):
+    model = langid.train(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
+    langs, scores, _ = langid.predictor(model)(["Talvella järvi jäätyy ja lapset luistelevat jäällä koko päivän.", "asdkjfh qwepoiu zxmcnb lkjhqwe zzxqj", "東京は日本の首都です"])
+    assert all(x in model.langs for x in langs) and max(scores) < 0.5
+
+
+def test_more_languages_than_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 2)
+    rows = [(i, f"{'ab cd ef'[i % 3 * 3 : i % 3 * 3 + 2]} " * (5 + 10 * (i % 3)), "xyz"[i % 3]) for i in range(30)]
+    assert langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string")).langs == ["y", "z"]
+
+
+def test_decontamination_query_equals_brute_force(spark, monkeypatch):
+    """The whole operator against Sellers' algorithm over whole texts, with several blocks, and with stretches as short as they get."""
+    from .test_queries import best_edits
+
+    rnd = random.Random(5)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 7))) for _ in range(n))
+    items = [(1, words(12)), (2, words(40)), (3, words(9)), (3, words(15)), (4, "short one"), (None, words(11)), (5, "aaaa " * 30), (6, None)]
+    docs = []
+    for i in range(40):
+        text = words(rnd.randrange(0, 60))
+        if i % 2:
+            name, item = rnd.choice([x for x in items if x[1]])
+            a = rnd.randrange(0, max(1, len(item) - 100))
+            part = list(item[a : a + rnd.choice([90, 100, 130, 400])])
+            for at in rnd.sample(range(len(part)), min(len(part), rnd.randrange(0, 9))):
+                part[at] = rnd.choice(["", "z", part[at] + "q"])
+            text = f"{text} {''.join(part)}. {words(rnd.randrange(0, 200))}"
+        docs.append((i, text))
+    docs.append((40, "aaaa " * 400))
+    want = {}
+    for i, text in docs:
+        t, found = decontam.normal(text), set()
+        for name, item in items:
+            one = decontam.normal(item)
+            if len(one) < decontam.Q:
+                hit = bool(one) and f" {one} " in f" {t} "
+            else:
+                m = min(len(one), decontam.SEGMENT)
+                hit = any(best_edits(one[a : a + m], t) <= decontam.budget(m) for a in range(len(one) - m + 1)) if t else False
+            if hit:
+                found.add(-1 if name is None else name)
+        want[i] = sorted(found)
+    rows, bench = spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string")
+    assert sum(map(bool, want.values())) > 10
+    assert {r["doc_id"]: r["item_ids"] for r in decontam.decontaminate(rows, bench).collect()} == want
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 200)
+    monkeypatch.setattr(decontam, "HELD_CHARS", 3000)
+    assert {r["doc_id"]: r["item_ids"] for r in decontam.decontaminate(rows, bench).collect()} == want
+    monkeypatch.setattr(decontam, "MOST_PLACES", 8)
+    index = decontam.Index.of([(-1 if n is None else n, t) for n, t in items])
+    assert {i: index.leaks(decontam.normal(t)) for i, t in docs} == want
+
+
+def test_clashing_names_are_handled(spark):
+    """Columns that bear the names of what the operators add or use on their way."""
+    names = "target src source_size full threshold copies score lang_pred bits_per_byte item_ids h p a n place part host path verdict rule bounds row"
+    cols = [F.lit("x").alias(c) for c in names.split()]
+    docs = spark.createDataFrame([(1, COPY, "en", "s"), (2, COPY + " more", "de", None)], "doc_id long, text string, lang string, source string").select("*", *cols)
+    assert mixing.mixed(docs).columns == docs.columns and mixing.mix_sources(docs).count() == 2
+    out = langid.identify(docs, langid.train(docs))
+    assert out.columns.count("score") == 1 and out.first()["score"] != "x" and out.count() == 2
+    flagged = decontam.flag(docs, spark.createDataFrame([(1, COPY)], "item_id long, text string"))
+    assert flagged.columns.count("item_ids") == 1 and [r["item_ids"] for r in flagged.collect()] == [[1], [1]]
+    for run in (quality.quality_rules, near_dedup.near_duplicates, token_count.document_tokens, langid.language_id, substring.remove_repeats, token_store.encode_documents, line_dedup.dedup_lines):
+        assert run(docs).count() == 2
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("http://a.net/x").alias("url"), *cols)
+    assert {r["verdict"] for r in url_rules.filter_urls(pages, url_rules.RULES).collect()} == {"block"}
+
+
+def test_mixing_with_a_giant_document_and_repeated_ids(spark):
+    rows = [(1, "w " * 50_000, "a"), (2, "w " * 10, "a"), (2, "w " * 20, "b"), (2, "w " * 20, "b"), (3, "w " * 30, "b"), (None, "q", None), (4, None, "c"), (5, "", "c")]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)).collect()
+    assert len(got) == len(rows) and all(r["taken"] <= 2 * r["size"] for r in got)
+    # Rows of one id share a hash, so those of one source are taken alike; and no source is taken beyond its target.
+    assert len({r["copies"] for r in got if r["doc_id"] == 2 and r["size"] == 20}) == 1
+    by = {}
+    for r in got:
+        by.setdefault(r["source_size"], [r["target"], 0])[1] += r["taken"]
+    assert all(taken <= target + 1e-9 for target, taken in by.values())
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf_dir):
+    """Null and empty texts, null ids, repeated rows and columns that documents doesn't have, through each stage, and no rows at all."""
+    import corpus_pipeline
+
+    base = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(r[0], r[1], r[2], r[3], r[4]) for r in ROWS]
+    odd = spark.createDataFrame(rows, base).withColumns({c: F.lit(1) for c in ("score", "target", "item_ids", "row", "c")}).repartition(3)
+    counts = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, sf_dir)
+        assert name == "token_output" or out.columns == list(corpus_pipeline.COLUMNS)
+        counts[name] = out.count()
+        assert stage(spark, odd.limit(0), sf_dir).count() == 0
+    # Without a letter: 1, 2, 3 and 10 and the row without anything; more go, as little is learned. One of each group of equal or similar texts stays.
+    assert 0 < counts["language"] <= len(ROWS) - 5 and counts["token_output"] == len(ROWS)
+    assert counts["near_duplicates"] == len(ROWS) - 2 and counts["decontamination"] == len(ROWS)
+
+
+def test_folders_of_other_calls_stay(spark):
+    mine, theirs = common.scratch(spark, "mine"), None
+    with common.owned("pipeline"):
+        theirs = common.scratch(spark, "theirs")
+    one = [common.staged(spark.range(3), f"{x}/t") for x in (mine, theirs)]
+    common.release(spark, "pipeline")
+    assert one[0].count() == 3
+    with pytest.raises(Exception, match="(?i)does not exist|not_exist"):
+        spark.read.parquet(f"{theirs}/t").count()
