@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import arrays as A
@@ -616,10 +616,11 @@ def mean_chunks(spark, sf_dir):
     return e.agg(d.alias("mean_chunks")).crossJoin(e.where("label < 0").agg(d.alias("default_chunks")))
 
 
-@query(f"WITH {V}, u AS (SELECT unnest(x) AS a FROM v) SELECT round(quantile_cont(a, 0.05), 6) AS low, round(quantile_cont(a, 0.99), 6) AS high FROM u")
+@query(f"WITH {V}, u AS (SELECT round(unnest(x) * 100) / 100 AS a FROM v) SELECT round(quantile_cont(a, 0.05), 6) AS low, round(quantile_cont(a, 0.99), 6) AS high FROM u")
 def percentile_range(spark, sf_dir):
-    p = vectors(spark, sf_dir).select(F.explode("x").alias("a")).agg(F.percentile("a", F.array(F.lit(0.05), F.lit(0.99))).alias("p"))
-    return p.select(r6(F.col("p")[0], "low"), r6(F.col("p")[1], "high"))
+    from corvane.sources import audio
+
+    return audio.clip_range(vectors(spark, sf_dir).select(F.col("x").alias("db"))).select(r6("low", "low"), r6("high", "high"))
 
 
 @query(f"WITH {V}, u AS (SELECT vec_id, unnest(range(len(x)))::INT AS frame FROM v) SELECT vec_id, frame, round(frame * 512 / 32000.0::DOUBLE, 6) AS seconds, greatest(16.0, least(30.0, frame / 3.0::DOUBLE)) AS width FROM u WHERE frame * 32000 / 64.0 <= 12000")
@@ -662,40 +663,77 @@ def generated(spark: SparkSession, seconds: tuple = (12.0, 5.0, 0.0, 3.3, 7.5, 0
     return spark.createDataFrame([(p, bytearray(b)) for p, b in rows], "path string, content binary").repartition(4, "path")
 
 
-@query()
+def damaged(spark: SparkSession) -> DataFrame:
+    """Files that can't be decoded, each for another reason, and one that can."""
+    from corvane.functions import signal
+
+    good = signal.encode_wav(np.zeros(3200), 32_000)
+    bent = {
+        "0_good": good, "1_text": b"not a recording", "2_short_format": good[:26], "3_no_samples": good[:36], "4_no_channels": good[:22] + b"\0\0" + good[24:], "5_no_rate": good[:24] + b"\0\0\0\0" + good[28:],
+        "6_no_bits": good[:34] + b"\0\0" + good[36:], "7_other_format": good[:20] + b"\7\0" + good[22:], "8_empty": b"", "9_odd_bits": good[:34] + b"\14\0" + good[36:],
+    }
+    return spark.createDataFrame([(f"/data/A4/{name}.wav", bytearray(b)) for name, b in bent.items()], "path string, content binary").repartition(4, "path")
+
+
+#: The generated recordings that can be decoded, as SQL: path, seconds, channels, rate.
+RECORDED = (
+    "rec(path, seconds, channels, rate) AS (VALUES ('/data/A4/20250101_053015.WAV', 12.0, 1, 32000), ('/data/A4/20250102_053015.WAV', 5.0, 2, 32000), ('/data/A4/20250103_053015.WAV', 0.0, 1, 32000), "
+    "('/data/A4/20250104_053015.WAV', 3.3, 2, 44100), ('/data/A4/20250105_053015.WAV', 7.5, 1, 16000), ('/data/A4/20250106_053015.WAV', 0.0, 2, 48000), ('/data/A4/20250109_000000.wav', 1.0, 1, 32000))"
+)
+CHUNKED = f"WITH {RECORDED}, c AS (SELECT path, seconds, unnest(range(ceil(seconds / 5)::INT))::INT AS i FROM rec), ch AS (SELECT path AS file_path, i AS chunk_idx, i * 5.0::DOUBLE AS start_time, least((i + 1) * 5.0, seconds)::DOUBLE AS end_time FROM c)"
+STEM = "regexp_extract(file_path, '([^/]+)[.][^.]+$', 1) || '_' || chunk_idx"
+
+
+@query(f"{CHUNKED} SELECT file_path, chunk_idx, round((end_time - start_time) * 32000)::INT AS n, start_time, end_time FROM ch")
 def wav_decode_chunks(spark, sf_dir):
     from corvane.sources import audio
 
     return audio.chunks(generated(spark)).select("file_path", "chunk_idx", F.size("samples").alias("n"), "start_time", "end_time")
 
 
-@query()
+@query(f"WITH {RECORDED} SELECT path, channels::INT AS channels, rate::BIGINT AS rate, 16::INT AS bits, seconds::DOUBLE AS duration FROM rec UNION ALL SELECT '/data/A4/20250110_000000.wav', NULL, NULL, NULL, NULL")
 def wav_headers(spark, sf_dir):
     from corvane.sources import audio
 
     return audio.headers(generated(spark))
 
 
-@query()
+@query(
+    "SELECT '/data/A4/' || name || '.wav' AS file_path, reason FROM (VALUES ('1_text', 'not a RIFF WAVE file'), ('2_short_format', 'a format chunk that is too short'), ('3_no_samples', 'no format or no samples'), "
+    "('4_no_channels', 'no channels, no rate or no bits'), ('5_no_rate', 'no channels, no rate or no bits'), ('6_no_bits', 'no channels, no rate or no bits'), ('7_other_format', 'format 7 with 16 bits'), ('8_empty', 'not a RIFF WAVE file'), "
+    "('9_odd_bits', 'format 1 with 12 bits')) AS t(name, reason)"
+)
 def decode_faults(spark, sf_dir):
     from corvane.sources import audio
 
-    return audio.faults(generated(spark))
+    return audio.faults(damaged(spark))
 
 
-@query()
+@query(
+    "WITH rec(file_path, samples, hz) AS (VALUES ('/data/A4/20250101_053015.WAV', 32000, 400), ('/data/A4/20250102_053015.WAV', 64000, 500), ('/data/A4/20250109_000000.wav', 32000, 0)), "
+    "f AS (SELECT *, unnest(range(1 + samples // 512))::INT AS frame FROM rec) SELECT file_path, 0::INT AS chunk_idx, frame, round(frame * 512 / 32000.0::DOUBLE, 6) AS seconds, 769::INT AS bins, "
+    "CASE WHEN frame BETWEEN 2 AND samples // 512 - 2 THEN round(hz * 2048 / 32000.0)::BIGINT END AS peak FROM f"
+)
 def stft_db(spark, sf_dir):
+    """The bin of the loudest tone of each frame that lies inside its recording; silence has none but the first."""
     from corvane.sources import audio
 
-    return audio.spectrogram(audio.chunks(generated(spark, (1.0, 2.0)))).select("file_path", "chunk_idx", "frame", r6("seconds", "seconds"), F.size("db").alias("bins"), F.round(F.array_max("db"), 3).alias("loudest"))
+    found = audio.spectrogram(audio.chunks(generated(spark, (1.0, 2.0))))
+    inside = F.col("frame").between(2, F.max("frame").over(Window.partitionBy("file_path", "chunk_idx")) - 2)
+    peak = F.when(inside, F.array_position("db", F.array_max("db")) - 1)
+    return found.select("file_path", "chunk_idx", "frame", r6("seconds", "seconds"), F.size("db").alias("bins"), peak.alias("peak"))
 
 
-@query()
+@query(f"{CHUNKED} SELECT {STEM} AS file, file_path, chunk_idx, 64::INT AS dims, 10::INT AS k, true AS falling, NULL::VARCHAR AS reason FROM ch UNION ALL SELECT NULL, '/data/A4/20250110_000000.wav', NULL, NULL, NULL, NULL, 'not a RIFF WAVE file'")
 def model_map(spark, sf_dir):
     from corvane.plans import models
 
     rows = models.infer(generated(spark), models.StandIn, [f"species_{i}" for i in range(200)], key="stand-in")
-    return rows.select("file", "file_path", "chunk_idx", F.size("embedding").alias("dims"), F.size("topk").alias("k"), F.get("topk", F.lit(0))["species"].alias("top1"), "reason")
+    scores = F.transform("topk", lambda t: t["score"])
+    ranks = F.transform("topk", lambda t: t["rank"])
+    falling = (scores == F.reverse(F.array_sort(scores))) & (ranks == F.sequence(F.lit(1), F.lit(10)))
+    size = lambda c: F.when(F.col(c).isNotNull(), F.size(c))
+    return rows.select("file", "file_path", "chunk_idx", size("embedding").alias("dims"), size("topk").alias("k"), falling.alias("falling"), "reason")
 
 
 @query()
@@ -703,9 +741,8 @@ def pca_2d(spark, sf_dir):
     return E.pca(vectors(spark, sf_dir), "x", 2).select("vec_id", r6("pc1", "pc1"), r6("pc2", "pc2"))
 
 
-@query()
-def incremental_ingest(spark, sf_dir):
-    """Two calls over one folder; the second finds nothing new."""
+def taken_in(spark: SparkSession) -> str:
+    """A folder to which two calls have taken in generated recordings; the second found nothing new. Their names are those of the fixed model."""
     from corvane.plans import models
     from corvane.sources.files import shared_folder, write_file
     from corvane.streaming.ingest import ingest
@@ -713,7 +750,37 @@ def incremental_ingest(spark, sf_dir):
     base = shared_folder(spark, "ingest")
     for r in generated(spark, (6.0, 3.0)).collect():
         write_file(f"{base}/in/{r['path'].rsplit('/', 1)[-1]}", bytes(r["content"]))
-    names = [f"species_{i}" for i in range(200)]
     for _ in range(2):
-        ingest(spark, f"{base}/in", f"{base}/out", models.StandIn, names, files_each=2)
-    return spark.read.parquet(f"{base}/out/predictions").select("file", "chunk_idx", F.size("topk").alias("k"))
+        ingest(spark, f"{base}/in", f"{base}/out", models.Fixed, ["owl", "wren", "jay"], k=2, files_each=2)
+    return f"{base}/out"
+
+
+#: What is taken in: name, chunk, start and end; 20250109 is silence.
+TAKEN = "t(stem, chunk_idx, start_time, end_time) AS (VALUES ('20250101_053015', 0, 0.0, 5.0), ('20250101_053015', 1, 5.0, 6.0), ('20250102_053015', 0, 0.0, 3.0), ('20250109_000000', 0, 0.0, 1.0))"
+
+
+@query(f"WITH {TAKEN} SELECT stem || '_' || chunk_idx AS file, chunk_idx::INT AS chunk_idx, start_time::DOUBLE AS start_time, end_time::DOUBLE AS end_time, 2::INT AS k FROM t")
+def incremental_ingest(spark, sf_dir):
+    """Two calls over one folder; the second finds nothing new."""
+    return spark.read.parquet(f"{taken_in(spark)}/predictions").select("file", "chunk_idx", "start_time", "end_time", F.size("topk").alias("k"))
+
+
+@query(
+    f"WITH {TAKEN}, d AS (SELECT strptime(left(stem, 8), '%Y%m%d')::DATE AS date, CASE WHEN stem LIKE '20250109%' THEN 'jay' ELSE 'owl' END AS first FROM t), own AS (SELECT date, first AS species, count(*) AS n FROM d GROUP BY 1, 2 UNION ALL "
+    "SELECT date, 'wren', count(*) FROM d GROUP BY 1), days AS (SELECT unnest(generate_series(DATE '2025-01-01', DATE '2025-01-09', INTERVAL 1 DAY))::DATE AS date), "
+    "g AS (SELECT days.date, s.species, coalesce(own.n, 0)::BIGINT AS n FROM days CROSS JOIN (SELECT DISTINCT species FROM own) s LEFT JOIN own ON own.date = days.date AND own.species = s.species) "
+    "SELECT date, species, n, round(avg(n::DOUBLE) OVER (PARTITION BY species ORDER BY date ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING), 6) AS smooth FROM g"
+)
+def ingest_to_timeseries(spark, sf_dir):
+    """From recordings to a daily series: decoded, run through a model with fixed answers, kept, dated, counted and smoothed."""
+    return timeseries.from_ingested(spark.read.parquet(f"{taken_in(spark)}/predictions"), threshold=0.0, n=3).withColumn("smooth", F.round("smooth", 6))
+
+
+@query(f"WITH {TAKEN} SELECT stem || '_' || chunk_idx AS file, chunk_idx::INT AS chunk_idx, CASE WHEN stem LIKE '20250109%' THEN 'jay' ELSE 'owl' END AS top1, 'wren' AS top2, 2.0::DOUBLE AS score1, 1.0::DOUBLE AS score2 FROM t")
+def ingest_to_csv(spark, sf_dir):
+    """The same kept predictions, written as wide CSV files by checkpoint and read again."""
+    from corvane.sources import tables
+
+    out = taken_in(spark)
+    tables.export_predictions(spark, out, f"{out}/csv", k=2)
+    return tables.predictions(spark, f"{out}/csv/*/*.csv", k=2).select("file", "chunk_idx", "top1", "top2", "score1", "score2")

@@ -21,9 +21,17 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("timeseries", help="predictions (CSV) to smoothed daily series")
     p.add_argument("--input", required=True)
     p.add_argument("--output", required=True)
+    p.add_argument("--ingested", action="store_true", help="the input is what infer wrote, not CSV files")
+    p.add_argument("--site", action="store_true", help="the input is a site's predictions_partitioned; its other deployments are read too")
     p.add_argument("--threshold", type=float, default=0.0)
     p.add_argument("--top-species", type=int, default=15)
     p.add_argument("--smooth", type=int, default=4)
+    p = sub.add_parser("export", help="what infer wrote, as wide CSV files of predictions and wide Parquet files of embeddings")
+    p.add_argument("--input", required=True)
+    p.add_argument("--output", required=True)
+    p.add_argument("--top", type=int, default=10)
+    p.add_argument("--embedding-size", type=int, default=1536)
+    p.add_argument("--float16", action="store_true")
     p = sub.add_parser("parse-log", help="a launcher's log to a CSV of jobs and a summary")
     p.add_argument("--input", required=True)
     p.add_argument("--output", required=True)
@@ -38,11 +46,20 @@ def main(argv: list[str] | None = None) -> None:
         path = args.model
         print(ingest(spark, args.input, args.output, (lambda: models.Onnx(path)) if path else models.StandIn, names, args.top, args.files_per_batch), "batches")
     elif args.command == "timeseries":
-        from corvane.plans.timeseries import from_predictions
-        from corvane.sources.tables import predictions
+        from corvane.plans.timeseries import from_ingested, from_predictions
+        from corvane.sources.tables import predictions, site_predictions
+
+        options = (args.threshold, args.top_species, args.smooth)
+        if args.ingested:
+            series = from_ingested(spark.read.parquet(f"{args.input.rstrip('/')}/predictions"), *options)
+        else:
+            series = from_predictions(site_predictions(spark, args.input) if args.site else predictions(spark, args.input, lenient=True), *options)
+        series.write.mode("overwrite").parquet(args.output)
+    elif args.command == "export":
+        from corvane.sources.tables import export_embeddings, export_predictions
 
-        found = predictions(spark, args.input, lenient=True)
-        from_predictions(found, args.threshold, args.top_species, args.smooth).write.mode("overwrite").parquet(args.output)
+        export_predictions(spark, args.input, f"{args.output}/predictions_partitioned", args.top)
+        export_embeddings(spark, args.input, f"{args.output}/embeddings_partitioned", args.embedding_size, args.float16)
     else:
         from corvane.operators import joblog
         from corvane.sources.tables import job_log

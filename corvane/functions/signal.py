@@ -7,30 +7,38 @@ import struct
 import numpy as np
 
 RATE, CHUNK = 32_000, 160_000
+#: Rates above this are damage; a filter for them would be as large as they are.
+MOST_RATE = 10_000_000
 
 
 class BadAudio(ValueError):
     """What isn't a WAV file that can be decoded."""
 
 
-def wav_header(data: bytes) -> dict:
-    """format (1 PCM, 3 float), channels, rate, bits, and the place and length of the samples."""
+def wav_header(data: bytes, total: int | None = None) -> dict:
+    """format (1 PCM, 3 float), channels, rate, bits, and the place and length of the samples. total: the file's length, if data is only its
+    beginning. Whatever isn't such a header raises BadAudio, wherever it was cut."""
+    total = len(data) if total is None else total
     if len(data) < 12 or data[:4] != b"RIFF" or data[8:12] != b"WAVE":
         raise BadAudio("not a RIFF WAVE file")
     at, found = 12, {}
     while at + 8 <= len(data):
         name, size = data[at : at + 4], struct.unpack_from("<I", data, at + 4)[0]
-        if name == b"fmt " and size >= 16:
+        if name == b"fmt ":
+            if size < 16 or at + 24 > len(data):
+                raise BadAudio("a format chunk that is too short")
             kind, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", data, at + 8)
-            if kind == 0xFFFE and size >= 26:
+            if kind == 0xFFFE and size >= 26 and at + 34 <= len(data):
                 kind = struct.unpack_from("<H", data, at + 32)[0]
             found |= {"format": kind, "channels": channels, "rate": rate, "bits": bits}
         elif name == b"data":
-            found |= {"start": at + 8, "length": min(size, len(data) - at - 8)}
+            found |= {"start": at + 8, "length": max(0, min(size, total - at - 8))}
             break
         at += 8 + size + (size & 1)
-    if "format" not in found or "start" not in found or not found["channels"] or not found["rate"]:
+    if "format" not in found or "start" not in found:
         raise BadAudio("no format or no samples")
+    if not found["channels"] or not found["rate"] or found["bits"] < 8:
+        raise BadAudio("no channels, no rate or no bits")
     return found
 
 
@@ -38,8 +46,6 @@ def decode_wav(data: bytes) -> tuple[np.ndarray, int]:
     """Samples (frames x channels, float32 in -1..1) and rate."""
     h = wav_header(data)
     width = h["bits"] // 8
-    if width == 0:
-        raise BadAudio("no bits")
     raw = data[h["start"] : h["start"] + h["length"] // (width * h["channels"]) * width * h["channels"]]
     if h["format"] == 3 and h["bits"] in (32, 64):
         x = np.frombuffer(raw, f"<f{width}").astype(np.float32)
@@ -94,6 +100,8 @@ def resample(x: np.ndarray, rate: int, to: int = RATE, zeros: int = 32) -> np.nd
 
 def load(data: bytes, rate: int = RATE) -> np.ndarray:
     x, own = decode_wav(data)
+    if own > MOST_RATE:
+        raise BadAudio(f"a rate of {own}")
     return resample(downmix(x), own, rate)
 
 

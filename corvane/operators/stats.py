@@ -67,7 +67,7 @@ def speedup_summary(compared: DataFrame) -> DataFrame:
 
 def best_by(rows: DataFrame, by: list[str], value: str, key: str) -> DataFrame:
     """by, the key with the largest value (of equals the smallest key) and that value."""
-    top = F.max_by(F.struct(key, value), F.struct(F.col(value), -F.col(key)))
+    top = F.min_by(F.struct(key, value), F.struct(-F.col(value), F.col(key)))
     return rows.groupBy(*by).agg(top.alias("_b")).select(*by, F.col("_b")[key].alias(f"best_{key}"), F.col("_b")[value].alias(f"best_{value}"))
 
 

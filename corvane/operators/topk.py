@@ -29,3 +29,15 @@ def topk_wide(df: DataFrame, scores: str, keys: list[str], names: DataFrame | li
 def label(df: DataFrame, names: DataFrame, idx: str = "idx") -> DataFrame:
     """df with the species of each index; names (idx, species) is a vocabulary of fixed size."""
     return df.join(F.broadcast(names.select(F.col("idx").alias(idx), "species")), idx)
+
+
+def from_topk(df: DataFrame, keys: list[str], k: int | None = None, column: str = "topk") -> DataFrame:
+    """keys, rank, idx, species, score: a row for each prediction that inference kept, up to rank k."""
+    rows = df.select(*keys, F.explode(column).alias("_t")).select(*keys, "_t.rank", "_t.idx", "_t.species", "_t.score")
+    return rows if k is None else rows.where(F.col("rank") <= k)
+
+
+def wide_from_topk(df: DataFrame, keys: list[str], k: int = 10, column: str = "topk") -> DataFrame:
+    """keys, top1..topk, score1..scorek, the layout of prediction files; nulls where there are fewer."""
+    at = lambda j: F.get(column, F.lit(j))
+    return df.select(*keys, *[at(j)["species"].alias(f"top{j + 1}") for j in range(k)], *[at(j)["score"].alias(f"score{j + 1}") for j in range(k)])

@@ -68,55 +68,60 @@ def smoothed(grid: np.ndarray, sigma: float = 1.5) -> np.ndarray:
 
 
 def label_places(points: DataFrame, by: str = "class_index", x: str = "umap_x", y: str = "umap_y", bins: int = 150, steps: int = 20) -> DataFrame:
-    """(class, cx, cy, label_x, label_y): for each class a place for its label on the ray from the plot's centre through its centroid, where
-    the density of all points and the distance cost least. Only cells of a raster and a row for each class leave the executors."""
+    """(class, cx, cy, label_x, label_y): for each class from 1 on a place for its label on the ray from the plot's centre through its centroid (of
+    medians), half to nearly all of the plot's range beyond the centroid, where three times the class's own density and a penalty for the distance are
+    least. A centroid at the centre gets its label beside it; a ray that leaves the plot at once, one a little further out. A task holds the raster of
+    a class, bins * bins cells at most."""
     box = raster.extent(points, x, y).first()
+    kinds = "class int, cx double, cy double, label_x double, label_y double"
     if box["x0"] is None:
-        return points.sparkSession.createDataFrame([], "class int, cx double, cy double, label_x double, label_y double")
-    grid = np.zeros((bins, bins))
-    for r in raster.raster(points, bins, bins, x, y).collect():  # bins * bins cells at most
-        grid[r["py"], r["px"]] = r["n"]
-    grid = smoothed(grid)
-    grid /= max(grid.max(), 1e-12)
-    lo, span = np.array([box["x0"], box["y0"]]), np.array([box["x1"] - box["x0"], box["y1"] - box["y0"]])
-    span = np.where(span > 0, span, 1.0)
-    centre, reach = lo + span / 2, float(span.max())
-
-    def place(cx: pd.Series, cy: pd.Series) -> pd.DataFrame:
-        out = []
-        for c in np.stack([cx, cy], axis=1):
-            ray = c - centre
-            ray = ray / (np.linalg.norm(ray) or 1.0) if np.linalg.norm(ray) else np.array([1.0, 0.0])
-            offsets = np.linspace(0.5, 0.95, steps) * reach / 2
-            spots = centre + offsets[:, None] * ray
-            cell = (spots - lo) / span * (bins - 1)
-            inside = ((cell >= 0) & (cell <= bins - 1)).all(axis=1)
-            cost = 3 * bilinear(grid, cell[:, 0], cell[:, 1]) + (np.abs(offsets - np.linalg.norm(c - centre)) / (0.3 * reach)) ** 1.5
-            out.append(spots[np.where(inside, cost, np.inf).argmin()] if inside.any() else c + 0.35 * reach / 2 * ray)
-        return pd.DataFrame(out, columns=["label_x", "label_y"])
-
-    at = F.pandas_udf(place, "label_x double, label_y double")
-    centroids = E.median_centroids(points.where(F.col(by).isNotNull()), by, x, y)
-    return centroids.select(F.col(by).alias("class"), "cx", "cy", at("cx", "cy").alias("p")).select("class", "cx", "cy", "p.*")
-
-
-#: Hours between which colours run, and the colours (red, green, blue) at their ends, for mornings and evenings.
-MORNING, EVENING = ((0.99, 0.91, 0.55), (0.85, 0.25, 0.15)), ((0.55, 0.75, 0.95), (0.20, 0.10, 0.45))
-GAP_ALPHA = 0.15
+        return points.sparkSession.createDataFrame([], kinds)
+    low, high = np.array([box["x0"], box["y0"]]), np.array([box["x1"], box["y1"]])
+    centre, reach = (low + high) / 2, float((high - low).max())
+    cells = raster.raster(points, bins, bins, x, y, by=(by,)).where(F.col(by) >= 1)
+    centroids = E.median_centroids(points.where(F.col(by) >= 1), by, x, y)
+
+    def place(own: pd.DataFrame) -> pd.DataFrame:
+        grid = np.zeros((bins, bins))
+        grid[own["px"], own["py"]] = own["n"]
+        grid = smoothed(grid)
+        grid /= grid.max() + 1e-8
+        c = np.array([own["cx"].iloc[0], own["cy"].iloc[0]])
+        far = np.linalg.norm(c - centre)
+        if far < 1e-6:
+            spot = c + [0.15 * reach, 0.0]
+        else:
+            ray, offsets = (c - centre) / far, np.linspace(0.5, 0.95, steps) * reach
+            spots = c + offsets[:, None] * ray
+            inside = ((spots >= low) & (spots <= high)).all(axis=1)
+            at = np.clip(((spots - low) / np.where(high > low, high - low, 1.0) * bins).astype(int), 0, bins - 1)
+            cost = 3 * grid[at[:, 0], at[:, 1]] + (offsets / (0.3 * reach)) ** 1.5
+            spot = spots[np.where(inside, cost, np.inf).argmin()] if inside.any() else c + 0.35 * reach * ray
+        return pd.DataFrame({"class": [int(own[by].iloc[0])], "cx": [c[0]], "cy": [c[1]], "label_x": [spot[0]], "label_y": [spot[1]]})
+
+    return cells.join(centroids, by).groupBy(by).applyInPandas(place, kinds)
+
+
+#: Palettes of this library's own: colours (red, green, blue) between which a day's hours run, for mornings and evenings.
+MORNING, EVENING = ((0.27, 0.00, 0.33), (0.13, 0.57, 0.55), (0.99, 0.91, 0.14)), ((1.00, 0.96, 0.94), (0.98, 0.42, 0.29), (0.40, 0.00, 0.05))
+#: Outside recording windows: a grey, nearly transparent.
+GAP, GAP_ALPHA = 0.5, 0.15
 
 
 def day_colours(windows: list[tuple[str, float, float]], cells: int = 288) -> np.ndarray:
-    """cells x 4: a colour for each part of the day, from one end of a palette to the other within a recording window, faint grey outside.
-    windows: (kind, start_hour, end_hour); evenings, and windows that wrap, run around midnight."""
-    out = np.tile([0.6, 0.6, 0.6, GAP_ALPHA], (cells, 1))
-    hours = (np.arange(cells) + 0.5) * 24 / cells
-    for kind, start, end in windows:
-        length = (end - start) % 24 or 24.0
-        along = (hours - start) % 24
-        at = along <= length
-        a, b = map(np.array, EVENING if kind == "evening" else MORNING)
-        share = (along[at] / length)[:, None]
-        out[at] = np.concatenate([a * (1 - share) + b * share, np.ones((at.sum(), 1))], axis=1)
+    """cells x 4: a colour for each part of the day, hours 0 to 24 both included, from one end of a palette to the other within a recording
+    window, its ends included, and a faint grey outside. windows: (kind, start_hour, end_hour); a window that ends before it starts runs
+    over midnight. Mornings go before evenings where both are."""
+    out = np.tile([GAP, GAP, GAP, GAP_ALPHA], (cells, 1))
+    hours = 24.0 * np.arange(cells) / max(1, cells - 1)
+    for kind, start, end in sorted(windows, key=lambda w: w[0] != "evening"):
+        wraps = start > end
+        at = (hours >= start) | (hours <= end) if wraps else (hours >= start) & (hours <= end)
+        along = np.where(wraps & (hours < start), hours + 24.0, hours) - start
+        share = np.clip(along[at] / max(end - start + 24.0 * wraps, 1e-6), 0, 1)
+        palette = np.array(EVENING if kind == "evening" else MORNING)
+        stops = np.linspace(0, 1, len(palette))
+        out[at] = np.stack([*(np.interp(share, stops, palette[:, c]) for c in range(3)), np.ones(at.sum())], axis=1)
     return out
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.paths import file_timestamp, key_timestamp
 from corvane.operators import detections as D
+from corvane.operators.topk import from_topk
 
 
 def dated(predictions: DataFrame, least_year: int = 2024) -> DataFrame:
@@ -26,3 +27,9 @@ def from_predictions(predictions: DataFrame, threshold: float = 0.0, n: int = 15
     """The whole way from wide predictions; the date filter comes before the unpivot."""
     long = D.unpivot_topk(dated(predictions), ["date"], k)
     return detection_timeseries(D.detections(long, threshold), n, width)
+
+
+def from_ingested(predictions: DataFrame, threshold: float = 0.0, n: int = 15, width: int = 4, k: int = 10) -> DataFrame:
+    """The same from the predictions that inference writes, whose topk are arrays; no wide columns are made on the way."""
+    long = from_topk(dated(predictions), ["date"], k).select("date", "rank", "species", "score")
+    return detection_timeseries(D.detections(long, threshold), n, width)

@@ -6,18 +6,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import signal
 
 #: Chunks in an Arrow batch; a chunk has 640 kB of samples.
 CHUNKS_EACH = 16
+#: Bytes that a header is looked for in first.
+HEAD = 4096
+#: Steps of a decibel in which percentiles are taken.
+DB_STEPS = 100
 
 
 def recordings(spark: SparkSession, folder: str, pattern: str = "*.{wav,WAV}") -> DataFrame:
-    # A row holds a whole file, so few are read into a batch.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(64, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))))
+    """Files with their contents. A row holds a whole file; Spark bounds Arrow batches by bytes, so few are in one."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
 
 
@@ -59,21 +62,25 @@ def faults(files: DataFrame) -> DataFrame:
 
 
 def headers(files: DataFrame) -> DataFrame:
-    """path, channels, rate, bits, duration from the header and the file's length; nulls if it can't be read."""
+    """path, channels, rate, bits, duration from the header and the file's length; nulls if it can't be read.
+
+    Only the beginning of a file goes to Python, unless its samples begin beyond that."""
+    head = F.substring("content", 1, HEAD)
+    files = files.select("path", F.when(F.instr(head.cast("string"), "data") > 0, head).otherwise(F.col("content")).alias("head"), F.octet_length("content").cast("long").alias("length"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for head in b.column(1).to_pylist():
+            for head, length in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 try:
-                    h = signal.wav_header(head or b"")
+                    h = signal.wav_header(head or b"", length or 0)
                     rows.append((h["channels"], h["rate"], h["bits"], h["length"] / (h["channels"] * h["bits"] / 8) / h["rate"]))
                 except signal.BadAudio:
                     rows.append((None, None, None, None))
             c = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(c[0], pa.int32()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.float64())], ["path", "channels", "rate", "bits", "duration"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(c[0], pa.int32()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.float64())], ["path", "channels", "rate", "bits", "duration"])
 
-    return files.select("path", "content").mapInArrow(run, "path string, channels int, rate int, bits int, duration double")
+    return files.mapInArrow(run, "path string, channels int, rate long, bits int, duration double")
 
 
 def spectrogram(chunked: DataFrame, n_fft: int = 2048, hop: int = 512, rate: int = signal.RATE, most_hz: float = 12_000.0) -> DataFrame:
@@ -91,5 +98,14 @@ def spectrogram(chunked: DataFrame, n_fft: int = 2048, hop: int = 512, rate: int
 
 
 def clip_range(spectra: DataFrame) -> DataFrame:
-    """The 5th and 99th percentile of all decibels."""
-    return spectra.select(F.explode("db").alias("db")).agg(F.percentile("db", F.array(F.lit(0.05), F.lit(0.99))).alias("p")).select(F.col("p")[0].alias("low"), F.col("p")[1].alias("high"))
+    """The 5th and 99th percentile of all decibels, to the nearest 1 / DB_STEPS: from counts by step, of which there are few however many
+    values there are. Between two steps percentiles are interpolated; without values there is no row but nulls."""
+    steps = spectra.select(F.explode("db").alias("db")).where("db IS NOT NULL AND NOT isnan(db)").groupBy(F.round(F.col("db") * DB_STEPS).cast("long").alias("step")).agg(F.count(F.lit(1)).alias("c"))
+    ranked = steps.withColumn("upto", F.sum("c").over(Window.orderBy("step"))).withColumn("n", F.sum("c").over(Window.partitionBy()))
+    out = []
+    for share, name in ((0.05, "low"), (0.99, "high")):
+        at = F.lit(share) * (F.col("n") - 1)
+        value = lambda place: F.min(F.when(F.col("upto") > place, F.col("step")))
+        below, above = value(F.floor(at)), value(F.ceil(at))
+        out.append(((below + (above - below) * F.max(at - F.floor(at))) / DB_STEPS).alias(name))
+    return ranked.agg(*out)

@@ -14,7 +14,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder's URI in spark.checkpoint.dir; in a temporary one only where that is unset and the master is local."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="corvane-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +22,12 @@ def ingest(spark: SparkSession, folder: str, out: str, make: Callable[[], Runner
 
     out has embeddings, predictions and faults, by batch_id, and the checkpoint from which a later call goes on. A file is either
     in a committed batch as a whole or taken again."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(64, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))))
     files = spark.readStream.format("binaryFile").schema(schemas.RECORDINGS).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_each).load(folder)
     seen: list[int] = []
+    key = uuid.uuid4().hex  # one runner for all batches of this call
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        rows = infer(df, make, names, k).persist()
+        rows = infer(df, make, names, k, key=key).persist()
         _write(rows.where("reason IS NULL").select(*schemas.KEY_NAMES, "embedding"), f"{out}/embeddings", batch_id)
         _write(rows.where("reason IS NULL").select(*schemas.KEY_NAMES, "topk"), f"{out}/predictions", batch_id)
         _write(rows.where("reason IS NOT NULL").select("file_path", "reason"), f"{out}/faults", batch_id)

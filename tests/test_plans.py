@@ -70,3 +70,57 @@ def test_cli(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out)["jobs"] == 1
     with pytest.raises(SystemExit):
         cli.main(["unknown"])
+
+
+def test_report_round_trip(spark, tmp_path):
+    from corvane.sources import tables
+
+    runs = benchmark.sweep(spark, lambda c: c["workers"] * 10, [{"workers": w, "batch_size": 4, "loader_threads": 1, "use_float16": False} for w in (1, 2)], iterations=2)
+    benchmark.write_report(runs, str(tmp_path / "r"), model_path="m.onnx", timeout=60)
+    read = tables.benchmark_report(spark, str(tmp_path / "r"))
+    r = read.first()
+    assert r["benchmark_metadata"]["successful_configurations"] == 2 and r["test_parameters"]["workers_tested"] == [1, 2] and r["test_parameters"]["timeout_seconds"] == 60
+    best = benchmark.analysis(read).orderBy("rank").collect()
+    assert [b["rank"] for b in best] == [1, 2] and all(abs(b["speedup_factor"] - 60 * b["mean_throughput"]) < 1e-6 * b["speedup_factor"] for b in best)
+    assert all(x["throughput_stats"]["count"] == 2 and x["files_processed"] == 20 * x["config"]["workers"] for x in r["results"])
+
+
+def test_sweep_stops_what_takes_too_long_and_reads_the_machine(spark):
+    from corvane.plans.benchmark import Monitor
+
+    def slow(config):
+        import time
+
+        def wait(batches):
+            time.sleep(60)
+            yield from batches
+
+        return spark.range(1).mapInArrow(wait, "id long").count()
+
+    assert [r["returncode"] for r in benchmark.sweep(spark, slow, [{"workers": 1}], iterations=1, timeout=3).collect()] == [-1]
+    with Monitor(0.05) as seen:
+        sum(i * i for i in range(4_000_000))
+    assert seen.mb and max(seen.mb) > 10 and max(seen.cpu) > 0
+
+
+def test_best_by_text_and_number_keys(spark):
+    from corvane.operators import stats
+
+    rows = spark.createDataFrame([("g", "b", 2.0), ("g", "a", 2.0), ("g", "c", 1.0), ("h", "z", None)], "g string, k string, v double")
+    assert {r["g"]: r["best_k"] for r in stats.best_by(rows, ["g"], "v", "k").collect()}["g"] == "a"
+
+
+def test_label_goes_where_its_own_class_is_thin(spark):
+    pts = [(1, 10.0 + i % 7 * 0.1, 5.0 + i % 5 * 0.1) for i in range(200)] + [(2, 0.0, 5.0), (0, 0.0, 0.0), (0, 10.0, 10.0), (2, 0.0, 5.0)]
+    m = spark.createDataFrame(pts, "class_index int, umap_x double, umap_y double")
+    got = {r["class"]: r for r in maps.label_places(m).collect()}
+    assert set(got) == {1, 2}
+    # Both rays leave the plot at once, so the labels stand a little further out.
+    reach = 10.6
+    assert abs(got[1]["label_x"] - got[1]["cx"]) > 0.3 * reach and abs(got[2]["cx"] - got[2]["label_x"]) > 0.3 * reach
+
+
+def test_mornings_go_before_evenings():
+    c = maps.day_colours([("evening", 6.0, 9.0), ("morning", 5.0, 8.0)])
+    assert c[int(287 * 7 / 24), :3].tolist() != c[int(287 * 8.5 / 24), :3].tolist() and c[0].tolist() == [maps.GAP] * 3 + [maps.GAP_ALPHA]
+    assert c[287, 3] == maps.GAP_ALPHA
