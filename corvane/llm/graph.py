@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import delete, staged
@@ -22,22 +22,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame, path: str, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, path: str) -> DataFrame:
     """(node, root) for each node of edges (u, v), root being the smallest node of its component and its own root.
 
-    Each round is written below path, so a lost executor costs one round. Rounds grow with the logarithm of a component's size."""
+    Each round is written below path, so a lost executor costs one round. Rounds grow with the logarithm of a component's size; each round
+    brings links nearer to the smallest node, so they end."""
     now = staged(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{path}/0")
-    mark = None
-    for k in range(1, most_rounds + 1):
-        after = staged(_small_star(_large_star(now)), f"{path}/{k}")
-        sums = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    mark, after, k = None, None, 0
+    while after is None or mark != after:
+        k, mark = k + 1, after
+        seen = Observation()
+        # Counted and summed by the job that writes the round.
+        now = staged(_small_star(_large_star(now)).observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), f"{path}/{k}")
+        after = seen.get
         if k > 1:
             delete(edges.sparkSession, f"{path}/{k - 2}")
-        now = after
-        if mark == tuple(sums):
-            break
-        mark = tuple(sums)
-    else:
-        raise RuntimeError("components did not settle")
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.unionAll(stars.select(F.col("root").alias("node"), "root").distinct())
