@@ -639,7 +639,7 @@ def file_match(spark, sf_dir):
 @query(f"{PTS} SELECT vec_id, round(3 * abs(z) + pow(abs(x) / (0.3 * 2.0), 1.5), 6) AS score, x BETWEEN -0.1 AND 0.1 AND y BETWEEN -0.1 AND 0.1 AS visible FROM p")
 def label_scores(spark, sf_dir):
     x, y, z = F.col("x"), F.col("y"), F.col("z")
-    return points(spark, sf_dir).select("vec_id", r6(A.radial_score(F.abs(z), F.abs(x), F.lit(2.0)), "score"), (x.between(-0.1, 0.1) & y.between(-0.1, 0.1)).alias("visible"))
+    return points(spark, sf_dir).select("vec_id", r6(A.radial_score(F.abs(z), F.abs(x), F.lit(2.0)), "score"), A.in_view(x, y, (-0.1, -0.1), (0.1, 0.1)).alias("visible"))
 
 
 @query("SELECT p_partkey, replace(replace(p_name, ' ', '_'), '_', ' ') AS name FROM part")
@@ -784,3 +784,221 @@ def ingest_to_csv(spark, sf_dir):
     out = taken_in(spark)
     tables.export_predictions(spark, out, f"{out}/csv", k=2)
     return tables.predictions(spark, f"{out}/csv/*/*.csv", k=2).select("file", "chunk_idx", "top1", "top2", "score1", "score2")
+
+
+def kept(spark: SparkSession, files: dict[str, bytes]) -> str:
+    """A new shared folder with these files."""
+    from corvane.sources.files import shared_folder, write_file
+
+    base = shared_folder(spark, "files")
+    for name, data in files.items():
+        write_file(f"{base}/{name}", data)
+    return base
+
+
+def last_name(c):
+    return F.element_at(F.split(c, "/"), -1)
+
+
+@query("SELECT * FROM (VALUES ('a.wav', 3::BIGINT), ('b.WAV', 5::BIGINT)) AS t(name, length)")
+def listing_files(spark, sf_dir):
+    """Both cases of a pattern, nothing between them, one folder deep."""
+    from corvane.sources import tables
+
+    base = kept(spark, {"a.wav": b"123", "b.WAV": b"12345", "c.Wav": b"1", "d.txt": b"1", "e/f.wav": b"1"})
+    return tables.listing(spark, base).select(last_name(F.col("path")).alias("name"), "length")
+
+
+@query("SELECT 'a.WAV' AS name UNION ALL SELECT 'b.wav'")
+def listing_first(spark, sf_dir):
+    """The first files by path, of a pattern given in one case."""
+    from corvane.sources import tables
+
+    base = kept(spark, {"c.wav": b"1", "b.wav": b"1", "a.WAV": b"1"})
+    return tables.listing(spark, base, tables.either_case("*.wav"), limit=2).select(last_name(F.col("path")).alias("name"))
+
+
+@query("SELECT 2::BIGINT AS files, 11::BIGINT AS bytes")
+def output_size(spark, sf_dir):
+    from corvane.sources import tables
+
+    return tables.output_size(spark, kept(spark, {"0/p.parquet": b"12345", "1/p.parquet": b"123456", "1/q.csv": b"1"}), "*.parquet")
+
+
+@query("SELECT * FROM (VALUES ('class', 0::INT, 'owl, barred'), ('class', 1::INT, 'wren'), ('done', NULL, '/a.wav'), ('done', NULL, '/b.wav'), ('model', 1536::INT, 'x')) AS t(kind, idx, name)")
+def json_scans(spark, sf_dir):
+    """Class names by place, the files of a checkpoint once each, a model's description."""
+    from corvane.sources import tables
+
+    base = kept(spark, {"classes.json": b'["owl, barred",\n "wren"]', "c.json": b'{"processed_files": ["/a.wav", "/b.wav", "/a.wav"],\n "checkpoint_id": 2}', "m.json": b'{"version": 2, "system": "x",\n "embedding_size": 1536}'})
+    classes = tables.class_names(spark, f"{base}/classes.json").select(F.lit("class").alias("kind"), F.col("idx").cast("int"), F.col("species").alias("name"))
+    done = tables.checkpoint(spark, f"{base}/c.json").select(F.lit("done").alias("kind"), F.lit(None).cast("int").alias("idx"), F.col("file_path").alias("name"))
+    model = tables.model_metadata(spark, f"{base}/m.json").select(F.lit("model").alias("kind"), F.col("embedding_size").alias("idx"), F.col("system").alias("name"))
+    return classes.unionAll(done).unionAll(model)
+
+
+CSV_HEAD = b"file,file_path,chunk_idx,start_time,end_time,checkpoint_id,top1,top2,score1,score2\n"
+
+
+@query("SELECT * FROM (VALUES ('a_0', 0::INT, 'owl, barred', NULL, 1.5::DOUBLE, 0.5::DOUBLE), ('a_1', 0::INT, 'wren', 'jay', 2.5::DOUBLE, 0.25::DOUBLE), ('b_0', 1::INT, 'jay', NULL, 3.0::DOUBLE, NULL)) AS t(file, checkpoint_id, top1, top2, score1, score2)")
+def csv_scan(spark, sf_dir):
+    """Several files with headers; quoted names, and names that mean none."""
+    from corvane.sources import tables
+
+    one = CSV_HEAD + b'a_0,/a.wav,0,0.0,5.0,0,"owl, barred",NA,1.5,0.5\na_1,/a.wav,1,5.0,10.0,0,wren,jay,2.5,0.25\n'
+    base = kept(spark, {"checkpoint_0000.csv": one, "checkpoint_0001.csv": CSV_HEAD + b"b_0,/b.wav,0,0.0,5.0,1,jay,nan,3.0,\n", "other.txt": b"x"})
+    return tables.predictions(spark, f"{base}/checkpoint_*.csv", k=2).select("file", "checkpoint_id", "top1", "top2", "score1", "score2")
+
+
+@query("SELECT * FROM (VALUES ('A4', 'a_0', 'owl'), ('A4-2', 'b_0', 'wren'), ('A4-10', 'c_0', 'jay')) AS t(site, file, top1)")
+def deployments(spark, sf_dir):
+    """The predictions of all deployments of a site, found from one of them."""
+    from corvane.sources import tables
+
+    row = lambda f, s: CSV_HEAD + f"{f}_0,/{f}.wav,0,0.0,5.0,0,{s},,1.5,\n".encode()
+    base = kept(spark, {f"{site}/{tables.PARTITIONED}/checkpoint_0000.csv": row(f, s) for site, f, s in (("A4", "a", "owl"), ("A4-2", "b", "wren"), ("A4-10", "c", "jay"), ("A40", "d", "tit"), ("B1", "e", "tit"))})
+    return tables.site_predictions(spark, f"{base}/A4-2/{tables.PARTITIONED}", k=2).select("site", "file", "top1")
+
+
+@query("SELECT site, count(*) AS n FROM (SELECT 'S' || o_custkey % 7 AS site FROM orders) GROUP BY 1")
+def site_column(spark, sf_dir):
+    from corvane.sources import tables
+
+    paths = table(spark, sf_dir, "orders").select(F.concat(F.lit("/data/S"), F.col("o_custkey") % 7, F.lit("/"), F.col("o_orderkey"), F.lit(".wav")).alias("path"))
+    return tables.sites(paths).groupBy("site").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT * FROM (VALUES ('A4', '01:00:00', '02:30:00', '1200'), ('B1', '03:00:00', NULL, NULL)) AS t(name, start_time, end_time, total_files)")
+def log_scan(spark, sf_dir):
+    """A log as one text, with bytes that aren't UTF-8."""
+    from corvane.sources import tables
+
+    log = "[01:00:00] Starting: A4\n│ Total Files │ 1,200\n".encode() + b"\xff\xfe\n" + b"[02:30:00] DONE: A4\n[03:00:00] Starting: B1\n"
+    return joblog.parse(tables.job_log(spark, f"{kept(spark, {'log.txt': log})}/log.txt")).select("name", "start_time", "end_time", "total_files")
+
+
+@query("SELECT vec_id::VARCHAR AS file, (label % 3)::INT AS checkpoint_id, embedding[1]::FLOAT AS emb_0, embedding[8]::FLOAT AS emb_7 FROM embeddings")
+def embeddings_wide(spark, sf_dir):
+    """Embeddings written as wide Parquet by checkpoint, and read again."""
+    from corvane.sources import tables
+
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("file"), F.col("embedding").cast("array<float>").alias("embedding"), (F.col("label") % 3).cast("int").alias("checkpoint_id"))
+    path = f"{kept(spark, {})}/wide"
+    tables.write_embeddings(rows, path, wide=8)
+    return spark.read.parquet(path).select("file", F.col("checkpoint_id").cast("int"), "emb_0", "emb_7")
+
+
+@query("SELECT vec_id::VARCHAR AS file, (label % 3)::INT AS checkpoint_id, len(embedding)::INT AS dims, round(embedding[1]::FLOAT::DOUBLE, 6) AS first FROM embeddings")
+def legacy_scan(spark, sf_dir):
+    """Wide embeddings in plain numbered folders, as arrays; a file that can't be read is left out."""
+    from corvane.sources import tables
+    from corvane.sources.files import write_file
+
+    path = kept(spark, {})
+    e = table(spark, sf_dir, "embeddings")
+    dims = e.select(F.max(F.size("embedding"))).first()[0]
+    rows = e.select(F.col("vec_id").cast("string").alias("file"), (F.col("label") % 3).cast("int").alias("c"), *A.to_wide(F.col("embedding").cast("array<float>"), dims))
+    for c in range(3):
+        rows.where(F.col("c") == c).drop("c").write.parquet(f"{path}/{c}")
+    write_file(f"{path}/1/broken.parquet", b"PAR1 but no more")
+    return tables.legacy_embeddings(spark, path).select("file", "checkpoint_id", F.size("embedding").alias("dims"), F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"))
+
+
+WIDE5 = ", ".join(f"max(CASE WHEN rank = {i} THEN 'species_' || idx END) AS top{i}" for i in range(1, 6)) + ", " + ", ".join(f"round(max(CASE WHEN rank = {i} THEN score END), 6) AS score{i}" for i in range(1, 6))
+
+
+@query(f"{LONG} SELECT vec_id::VARCHAR AS file, {WIDE5} FROM k GROUP BY vec_id")
+def csv_round_trip(spark, sf_dir):
+    """The five best of each row as wide CSV, and read again."""
+    from corvane.sources import tables
+
+    wide = topk.topk_wide(vectors(spark, sf_dir), "x", ["vec_id"], NAMES, 5).withColumnRenamed("vec_id", "file")
+    names = ["file", *(f"top{i}" for i in range(1, 6)), *(f"score{i}" for i in range(1, 6))]
+    path = f"{kept(spark, {})}/csv"
+    tables.write_predictions(wide.select(*names), path)
+    read = spark.read.schema(", ".join(f"{n} {'double' if n.startswith('score') else 'string'}" for n in names)).option("header", True).csv(path)
+    return tables.null_names(read).select("file", *names[1:6], *[r6(n, n) for n in names[6:]])
+
+
+@query("SELECT rate::INT AS rate, 16000::INT AS n, true AS close FROM (VALUES (8000), (16000), (22050), (32000), (44100), (48000), (96000)) AS t(rate)")
+def resampled_tone(spark, sf_dir):
+    """Half a second of a tone at several rates, brought to 32 kHz: as many samples, and within a hundredth of the tone itself but at the ends."""
+    from corvane.functions import signal
+
+    def close(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            rows = []
+            for rate in b.column(0).to_pylist():
+                y = signal.load(signal.encode_wav(np.sin(2 * np.pi * 1000 * np.arange(rate // 2) / rate) * 0.5, rate))
+                want = np.sin(2 * np.pi * 1000 * np.arange(len(y)) / 32_000) * 0.5
+                rows.append((rate, len(y), bool(np.abs(y - want)[800:-800].max() < 0.01)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.bool_()), strict=True)], ["rate", "n", "close"])
+
+    return spark.createDataFrame([(r,) for r in (8000, 16_000, 22_050, 32_000, 44_100, 48_000, 96_000)], "rate int").mapInArrow(close, "rate int, n int, close boolean")
+
+
+RAN = "r(workers, batch_size, i, ok, elapsed, files) AS (VALUES (2, 4, 0, true, 40.0, 100), (2, 4, 1, true, 50.0, 100), (8, 4, 0, true, 20.0, 100), (8, 4, 1, false, NULL, 0), (8, 8, 0, false, NULL, 0), (32, 4, 0, true, 10.0, 100), (32, 4, 1, true, 12.5, 100))"
+
+
+@query(
+    f"WITH {RAN}, m AS (SELECT workers, batch_size, avg(files / elapsed::DOUBLE) AS rate, avg(elapsed)::DOUBLE AS mean_time, count(*)::INT AS good FROM r WHERE ok GROUP BY 1, 2), n AS (SELECT workers, batch_size, count(*)::INT AS asked FROM r GROUP BY 1, 2) "
+    "SELECT workers::INT AS workers, batch_size::INT AS batch_size, round(rate, 6) AS mean_throughput, round(rate * 60, 6) AS speedup_factor, round(mean_time, 6) AS mean_time, good AS iterations_successful, asked AS iterations_requested, "
+    "row_number() OVER (ORDER BY rate DESC)::INT AS rank FROM m JOIN n USING (workers, batch_size)"
+)
+def report_round_trip(spark, sf_dir):
+    """Runs to a report, the report read again and analysed; a configuration without a run that succeeded isn't in it."""
+    import json
+
+    from corvane.plans import benchmark
+    from corvane.sources import tables
+
+    ran = [(2, 4, 0, 0, 40.0, 100), (2, 4, 1, 0, 50.0, 100), (8, 4, 0, 0, 20.0, 100), (8, 4, 1, 1, None, 0), (8, 8, 0, 1, None, 0), (32, 4, 0, 0, 10.0, 100), (32, 4, 1, 0, 12.5, 100)]
+    runs = [(json.dumps({"workers": w, "batch_size": b}, sort_keys=True), i, code, t, n, 90.0, 500.0, [90.0], [500.0]) for w, b, i, code, t, n in ran]
+    path = f"{kept(spark, {})}/report"
+    benchmark.write_report(spark.createDataFrame(runs, benchmark.RUNS), path)
+    found = benchmark.analysis(tables.benchmark_report(spark, path))
+    return found.select("workers", "batch_size", *[r6(c, c) for c in ("mean_throughput", "speedup_factor", "mean_time")], "iterations_successful", "iterations_requested", "rank")
+
+
+@query("SELECT x::DOUBLE / 4 AS x, y::DOUBLE / 4 AS y, round(least(greatest(x / 4.0, 0), 3) * 3 + least(greatest(y / 4.0, 0), 2) * 2 + 1, 6)::DOUBLE AS value FROM range(-4, 17) a(x), range(-4, 13) b(y)")
+def bilinear_samples(spark, sf_dir):
+    """A plane on a grid of 4 by 3, sampled between its cells and beyond its edges."""
+    from corvane.plans import maps
+
+    grid = np.array([[3.0 * i + 2.0 * j + 1 for i in range(4)] for j in range(3)])
+    xs, ys = (a.ravel() for a in np.meshgrid(np.arange(-4, 17) / 4, np.arange(-4, 13) / 4))
+    return spark.createDataFrame([tuple(map(float, r)) for r in zip(xs, ys, np.round(maps.bilinear(grid, xs, ys), 6), strict=True)], "x double, y double, value double")
+
+
+@query("SELECT i::INT AS cell, CASE WHEN h BETWEEN 5 AND 8 OR h >= 22 OR h <= 1 THEN 1.0 ELSE 0.15 END::DOUBLE AS alpha, NOT (h BETWEEN 5 AND 8 OR h >= 22 OR h <= 1) AS grey FROM (SELECT i, 24.0::DOUBLE * i / 287 AS h FROM range(288) t(i))")
+def day_ramp(spark, sf_dir):
+    """The colours of a day with a morning window and an evening one over midnight: where they are opaque and where grey."""
+    from corvane.plans import maps
+
+    c = maps.day_colours([("morning", 5.0, 8.0), ("evening", 22.0, 1.0)])
+    return spark.createDataFrame([(i, float(a), bool((rgb == maps.GAP).all())) for i, (a, rgb) in enumerate(zip(c[:, 3], c[:, :3], strict=True))], "cell int, alpha double, grey boolean")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN strptime('20250' || (1 + o_orderkey % 9) || '15_0' || (o_orderkey % 10) || '3000', '%Y%m%d_%H%M%S') END AS ts FROM orders WHERE o_orderkey % 3 < 2")
+def key_dates(spark, sf_dir):
+    """The time that a chunk's key gives by its first two parts; null if they give none."""
+    o = table(spark, sf_dir, "orders").where("o_orderkey % 3 < 2")
+    good = F.concat(F.lit("20250"), 1 + F.col("o_orderkey") % 9, F.lit("15_0"), F.col("o_orderkey") % 10, F.lit("3000_7"))
+    return o.select("o_orderkey", P.key_timestamp(F.when(F.col("o_orderkey") % 3 == 0, good).otherwise(F.concat(F.lit("rec_"), F.col("o_orderkey")))).alias("ts"))
+
+
+@query(
+    f"WITH {V}, c AS (SELECT label, count(*) AS n FROM v WHERE label % 5 <> 0 GROUP BY 1), top AS (SELECT label, row_number() OVER (ORDER BY n DESC, 'c' || label) AS rn FROM c) "
+    "SELECT vec_id::VARCHAR AS file, CASE WHEN v.label % 5 <> 0 THEN 'c' || v.label END AS predicted_class, (CASE WHEN rn <= 4 THEN rn ELSE 0 END)::INT AS class_index FROM v LEFT JOIN top ON top.label = v.label"
+)
+def class_map_rows(spark, sf_dir):
+    """The projected map's rows, written and read again: each embedding with its class and the class's place by frequency."""
+    from corvane.plans import maps
+
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("file"), F.col("vec_id").cast("string").alias("file_path"), F.lit(0).alias("chunk_idx"), F.lit(0.0).alias("start_time"), F.lit(5.0).alias("end_time"), "embedding", "label")
+    p = e.where("label % 5 <> 0").select("file_path", "chunk_idx", F.concat(F.lit("c"), F.col("label")).alias("top1"))
+    path = f"{kept(spark, {})}/map"
+    maps.write_map(maps.class_map(e.drop("label"), p, n=4), path)
+    return spark.read.parquet(path).where("umap_x IS NOT NULL AND umap_y IS NOT NULL").select("file", "predicted_class", "class_index")

@@ -116,3 +116,8 @@ def radial_score(density: Column, offset: Column, span: Column) -> Column:
 
 def least_gap(values: Column) -> Column:
     return F.array_max(values) - F.array_min(values)
+
+
+def in_view(x: Column, y: Column, low: tuple[float, float], high: tuple[float, float]) -> Column:
+    """Whether a point lies within a plot's axes, its edges included."""
+    return x.between(low[0], high[0]) & y.between(low[1], high[1])

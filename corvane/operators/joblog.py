@@ -55,9 +55,11 @@ def parse(logs: DataFrame, text: str = "value", keys: tuple[str, ...] = ()) -> D
 
 
 def summary(jobs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Sums, unweighted means and ranges over jobs that have a field; the configuration is the first job's."""
+    """Sums, unweighted means and ranges over jobs that have a field; the configuration is the first job's, of several logs that of the log
+    whose keys come first."""
     num = lambda c: F.expr(f"try_cast({c} AS DOUBLE)")
-    first = lambda c: F.min_by(c, "ordinal").alias(c)
+    order = F.struct(*[c for c in jobs.columns[: jobs.columns.index("ordinal")] if c not in by], "ordinal")
+    first = lambda c: F.min_by(c, order).alias(c)
     return jobs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("jobs"),
         F.sum(F.expr("try_cast(files_processed AS BIGINT)")).alias("files"),

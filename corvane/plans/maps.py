@@ -35,6 +35,11 @@ def time_map(embeddings: DataFrame, least: int = 500, method: str = "pca") -> Da
     return project(days, method=method).select(*KEYS, "umap_x", "umap_y", "time_seconds", "day_of_year")
 
 
+def write_map(found: DataFrame, path: str) -> None:
+    """A map's rows as Parquet, coordinates as floats."""
+    found.withColumns({c: F.col(c).cast("float") for c in ("umap_x", "umap_y")}).write.mode("overwrite").parquet(path)
+
+
 def chunk_labels(predictions: DataFrame, audio_stem: str, k: int = 3) -> DataFrame:
     """(chunk_idx, labels: the first k valid of rank, species and relative confidence) of one recording; of several rows of a chunk
     that with the largest file and scores counts."""
