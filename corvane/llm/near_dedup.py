@@ -323,11 +323,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         crossing = staged(_crossing(left, nodes, f"{at}/compared"), f"{at}/crossing")
         dense = staged(crossing.where("u IS NULL").select("key").distinct(), f"{at}/dense")
         more = crossing.where("u IS NOT NULL").join(dense, "key", "left_anti").select("u", "v").distinct().join(tried, ["u", "v"], "left_anti")
-        # What is known of the components goes on as stars.
-        links = labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(_confirmed(more, docs, f"{at}/second"))
+        new = _confirmed(more, docs, f"{at}/second")
         if dense.limit(1).count():
-            links = links.unionAll(staged(_dense_links(left.join(dense, "key", "left_semi"), docs, f"{at}/dense-compared"), f"{at}/third"))
-        labels = components(links, f"{at}/joined")
+            new = new.unionAll(staged(_dense_links(left.join(dense, "key", "left_semi"), docs, f"{at}/dense-compared"), f"{at}/third"))
+        if new.limit(1).count():
+            # What is known of the components goes on as stars.
+            labels = components(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(new), f"{at}/joined")
     found = nodes.select("node", "nid").join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("node", F.coalesce("root", "nid").alias("component"))
     out = table.join(staged(found, f"{at}/found").hint("merge"), "node", "left")
     component = F.coalesce("component", "doc_id")
