@@ -208,9 +208,3 @@ def gram_codes(codes: np.ndarray, n: int, odd: int = 0x9E3779B97F4A7C15) -> np.n
             base = base * base & one
             width *= 2
     return mix(out + np.uint64(n))
-
-
-def table_bytes(docs: DataFrame, column: str) -> tuple[int, int]:
-    """Rows, and bytes of a string column."""
-    row = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(column).cast("long")), F.lit(0))).first()
-    return int(row[0]), int(row[1])

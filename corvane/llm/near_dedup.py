@@ -175,10 +175,11 @@ def _block_pairs(rows: DataFrame, size: int, path: str) -> DataFrame:
     A component with more than `size` rows in a group has blocks of its own, the others share blocks. Two blocks of one component make no
     pair. So a large component costs its size times what else is in its groups. Pairs are made of the blocks' names first and get
     their rows by name, so that the blocks of one large group are dealt to all tasks."""
-    per_lab = rows.groupBy("key", "lab").agg(F.count(F.lit(1)).alias("c"))
+    # Both sides are written before they are joined, so that a key with many components can be split between tasks.
+    per_lab = staged(rows.groupBy("key", "lab").agg(F.count(F.lit(1)).alias("c")), f"{path}/per-component")
     big = F.col("c") > size
-    pool = per_lab.groupBy("key").agg(F.sum(F.when(~big, F.col("c")).otherwise(0)).alias("pool"))
-    sizes = staged(per_lab.join(pool, "key"), f"{path}/sizes")
+    pool = staged(per_lab.groupBy("key").agg(F.sum(F.when(~big, F.col("c")).otherwise(0)).alias("pool")), f"{path}/pools")
+    sizes = staged(per_lab.join(pool.hint("merge"), "key"), f"{path}/sizes")
     own = F.xxhash64("lab", F.pmod(F.xxhash64("nid"), F.ceil(F.col("c") / size)))
     shared = F.pmod(F.xxhash64("lab"), F.ceil(F.col("pool") / size))
     named = rows.join(sizes.hint("merge"), ["key", "lab"]).select("key", F.when(big, own).otherwise(shared).alias("blk"), F.when(big, F.col("lab")).alias("one"), F.struct("nid", "lab", "n", "load").alias("m"))
