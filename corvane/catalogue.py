@@ -597,6 +597,11 @@ def union_sites_legacy(spark, sf_dir):
     return joins.related_sites(by_site(spark, sf_dir), "A4", legacy=True)
 
 
+@query(f"{SITES} SELECT split_part(site, '-', 1) AS base, count(*) AS n FROM e GROUP BY 1")
+def base_sites(spark, sf_dir):
+    return by_site(spark, sf_dir).groupBy(P.base_site(F.col("site")).alias("base")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"{SITES}, a AS (SELECT event_id, site FROM e WHERE site = 'A4' UNION ALL SELECT event_id, site FROM e WHERE site = 'A40') SELECT site, count(*) AS n FROM a GROUP BY 1")
 def union_files(spark, sf_dir):
     s = by_site(spark, sf_dir)
