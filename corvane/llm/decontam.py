@@ -100,17 +100,18 @@ class Index:
     def edits(self) -> np.ndarray:
         return np.repeat(self.budget, self.length - self.size + 1)
 
-    def regions(self, grams: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(place of an item, first diagonal, starts of segments) of the bands in which these segments' counts of shared q-grams meet their
-        bound."""
+    def shared(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of a text's q-grams that items have too, and which of the items' distinct q-grams they are."""
+        if not len(self.names):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         at = np.flatnonzero(self.filter[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-        if not len(at) or not len(self.names):
-            return
         place = np.minimum(np.searchsorted(self.names, grams[at]), len(self.names) - 1)
         ok = self.names[place] == grams[at]
-        at, place = at[ok], place[ok]
-        if not len(at):
-            return
+        return at[ok], place[ok]
+
+    def regions(self, at: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(place of an item, first diagonal, starts of segments) of the bands in which these segments' counts of shared q-grams, as `shared` gives
+        them, meet their bound."""
         n = self.first[place + 1] - self.first[place]
         rows = np.repeat(self.first[place] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         own, off = self.own[rows], self.off[rows]
@@ -141,36 +142,33 @@ class Index:
                 np.add.at(step, hi[some] + 1, -1)
                 yield e, (k & ((1 << 40) - 1)) * STEP - self.shift, np.flatnonzero(np.cumsum(step[:-1]))
 
-    def stretches(self, grams: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Ranges of characters of a text with these q-grams that together hold each part that may align, each in one of them as a whole, and share
+    def stretches(self, at: np.ndarray, place: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+        """Ranges of q-grams of a text of `size` that together hold each part that may align, each in one of them as a whole, and share
         MOST_PLACES places with items at most, or are as short as they get."""
         longest = int((self.size + self.budget).max(initial=Q))
-        n = np.zeros(len(grams), np.int64)
-        if len(self.names):
-            at = np.flatnonzero(self.filter[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-            place = np.minimum(np.searchsorted(self.names, grams[at]), len(self.names) - 1)
-            n[at] = np.where(self.names[place] == grams[at], self.first[place + 1] - self.first[place], 0)
-        upto = np.concatenate([[0], np.cumsum(n)])
-        waiting = [(0, len(grams))]
+        upto = np.concatenate([[0], np.cumsum(self.first[place + 1] - self.first[place])])
+        waiting = [(0, size)]
         while waiting:
             x, y = waiting.pop()
-            most = upto[min(y + longest, len(grams))] - upto[x]
-            if not most:
+            lo, hi = np.searchsorted(at, [x, y + longest])
+            if lo == hi:
                 continue
-            if most > MOST_PLACES and y - x > longest:
+            if upto[hi] - upto[lo] > MOST_PLACES and y - x > longest:
                 waiting += [(x, (x + y) // 2), ((x + y) // 2, y)]
             else:
-                yield x, min(y + longest, len(grams)) + Q - 1
+                yield x, min(y + longest, size)
 
     def leaks(self, text: str) -> list[int]:
         """The items of which the (normal) text holds a segment within its budget."""
         out = {name for name, t in self.short if t in f" {text} "} if self.short else set()
-        if len(text) >= Q and len(self.names):
+        if len(text) >= Q:
             whole = points(text)
             grams = gram_codes(mix(whole.astype(np.uint64) + np.uint64(1)), Q)
-            for x, y in self.stretches(grams):
-                chars = whole[x:y]
-                for e, diag, starts in self.regions(grams[x : y - Q + 1]):
+            at, place = self.shared(grams)
+            for x, y in self.stretches(at, place, len(grams)):
+                lo, hi = np.searchsorted(at, [x, y])
+                chars = whole[x : y + Q - 1]
+                for e, diag, starts in self.regions(at[lo:hi] - x, place[lo:hi]):
                     if self.name[e] not in out and aligned(points(self.whole[e]), starts, int(self.size[e]), chars, diag, STEP + self.span, int(self.budget[e])):
                         out.add(self.name[e])
         return sorted(out)
