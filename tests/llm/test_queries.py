@@ -67,13 +67,28 @@ def best_edits(segment, text):
     return row.min()
 
 
+def best_edits_of_all(segments, text):
+    """best_edits of segments of one length, all at once."""
+    chars, rows = np.array(list(text)), np.array([list(s) for s in segments])
+    row, steps = np.zeros((len(rows), len(text) + 1), np.int16), np.arange(len(text) + 1, dtype=np.int16)
+    for i in range(rows.shape[1]):
+        now = np.empty_like(row)
+        now[:, 0] = i + 1
+        np.minimum(row[:, :-1] + (chars[None, :] != rows[:, i, None]), row[:, 1:] + np.int16(1), out=now[:, 1:])
+        row = np.minimum.accumulate(now - steps, axis=1) + steps
+    return row.min(axis=1)
+
+
 def test_decontamination_equals_brute_force(spark, sf_dir):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()][:6]
     index = decontam.Index.of(items)
     docs = [decontam.normal(r["text"])[:1500] for r in documents(spark, sf_dir)[:60]]
     docs += [docs[0] + " " + decontam.normal(items[0][1]) + " end", decontam.normal(items[1][1])[10:140].replace("an", "am", 2)]
     for text in docs:
-        want = {index.item[s] for s in range(len(index.text)) if text and best_edits(index.text[s], text) <= index.edits[s]}
+        want = set()
+        for size in {len(s) for s in index.text} if text else ():
+            own = [s for s in range(len(index.text)) if len(index.text[s]) == size]
+            want |= {index.item[s] for s, edits in zip(own, best_edits_of_all([index.text[s] for s in own], text), strict=True) if edits <= index.edits[s]}
         assert set(index.leaks(text)) == want
     assert index.leaks(docs[-1]) == [items[1][0]] and items[0][0] in index.leaks(docs[-2])
 
