@@ -1007,3 +1007,22 @@ def class_map_rows(spark, sf_dir):
     path = f"{kept(spark, {})}/map"
     maps.write_map(maps.class_map(e.drop("label"), p, n=4), path)
     return spark.read.parquet(path).where("umap_x IS NOT NULL AND umap_y IS NOT NULL").select("file", "predicted_class", "class_index")
+
+
+@query("SELECT '/data/A4/' || name || '.wav' AS file_path, 0::INT AS chunk_idx, n::INT AS n, e::DOUBLE AS end_time, true AS silent FROM (VALUES ('0_good', 3200, 0.1), ('1_text', 160000, 5), ('2_short_format', 160000, 5), ('3_no_samples', 160000, 5), ('4_no_channels', 160000, 5), ('5_no_rate', 160000, 5), ('6_no_bits', 160000, 5), ('7_other_format', 160000, 5), ('8_empty', 160000, 5), ('9_odd_bits', 160000, 5)) AS t(name, n, e)")
+def silent_faults(spark, sf_dir):
+    """The other way with files that can't be decoded: a chunk of silence for each."""
+    from corvane.sources import audio
+
+    found = audio.chunks(damaged(spark), silent=True)
+    return found.select("file_path", "chunk_idx", F.size("samples").alias("n"), "end_time", (F.array_max("samples") == 0).alias("silent"))
+
+
+@query("SELECT vec_id::VARCHAR AS file, embedding[2]::FLOAT AS emb_1 FROM embeddings")
+def embeddings_plain(spark, sf_dir):
+    """Wide embeddings as one table, without checkpoints."""
+    from corvane.sources import tables
+
+    path = f"{kept(spark, {})}/plain"
+    tables.write_embeddings(table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("file"), F.col("embedding").cast("array<float>").alias("embedding")), path, wide=2)
+    return spark.read.parquet(path).select("file", "emb_1")

@@ -29,8 +29,9 @@ def _flush(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["file_path", "chunk_idx", "samples", "start_time", "end_time", "reason"])
 
 
-def decoded(files: DataFrame, size: int = signal.CHUNK, rate: int = signal.RATE) -> DataFrame:
-    """chunks of files (path, content) and a column reason; a file that can't be decoded gives one row with a reason and no samples."""
+def decoded(files: DataFrame, size: int = signal.CHUNK, rate: int = signal.RATE, silent: bool = False) -> DataFrame:
+    """chunks of files (path, content) and a column reason; a file that can't be decoded gives one row with a reason and no samples, or, if
+    silent, one whole chunk of silence without a reason."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -39,8 +40,10 @@ def decoded(files: DataFrame, size: int = signal.CHUNK, rate: int = signal.RATE)
                 try:
                     x = signal.load(content.as_buffer().to_pybytes() if content.is_valid else b"", rate)
                 except signal.BadAudio as e:
-                    rows.append((path, None, None, None, None, str(e)))
-                    continue
+                    if not silent:
+                        rows.append((path, None, None, None, None, str(e)))
+                        continue
+                    x = np.zeros(size, np.float32)
                 for i, part in enumerate(signal.frames(x, size)):
                     rows.append((path, i, part, i * size / rate, min((i + 1) * size, len(x)) / rate, None))
                     if len(rows) >= CHUNKS_EACH:
@@ -52,8 +55,8 @@ def decoded(files: DataFrame, size: int = signal.CHUNK, rate: int = signal.RATE)
     return files.select("path", "content").mapInArrow(run, "file_path string, chunk_idx int, samples array<float>, start_time double, end_time double, reason string")
 
 
-def chunks(files: DataFrame) -> DataFrame:
-    return decoded(files).where("reason IS NULL").select("file_path", "chunk_idx", "samples", "start_time", "end_time")
+def chunks(files: DataFrame, silent: bool = False) -> DataFrame:
+    return decoded(files, silent=silent).where("reason IS NULL").select("file_path", "chunk_idx", "samples", "start_time", "end_time")
 
 
 def faults(files: DataFrame) -> DataFrame:

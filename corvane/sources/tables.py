@@ -60,12 +60,16 @@ def half(x: pd.Series) -> pd.Series:
 
 
 def write_embeddings(df: DataFrame, path: str, wide: int | None = None, half_precision: bool = False) -> None:
-    """Parquet by checkpoint_id; the partitions that df has are replaced, others stay. wide: as so many emb_ columns."""
+    """Parquet by checkpoint_id; the partitions that df has are replaced, others stay. Without that column one plain table, replaced as a whole.
+    wide: as so many emb_ columns."""
     if half_precision:
         df = df.withColumn("embedding", half("embedding"))
     if wide:
         df = df.select(*[c for c in df.columns if c != "embedding"], *to_wide(F.col("embedding"), wide))
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy("checkpoint_id").parquet(path)
+    writer = df.write.mode("overwrite").option("compression", "snappy")
+    if "checkpoint_id" in df.columns:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("checkpoint_id")
+    writer.parquet(path)
 
 
 def null_names(df: DataFrame) -> DataFrame:
