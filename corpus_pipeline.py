@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from corvane.llm import common, decontam, langid, mixing, near_dedup, token_store
 
-#: A document whose language is less likely than this is rejected, as is one without any letter.
-LEAST_SCORE = 0.5
+#: A document whose score is lower is rejected, as is one without any letter. Texts of languages that weren't learned score far lower; short
+#: texts of learned ones that hold a key or a number score 0.38 and more.
+LEAST_SCORE = 0.25
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
