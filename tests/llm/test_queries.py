@@ -166,7 +166,7 @@ def test_pipeline_equals_plain_version(spark, sf_dir):
     got = sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect()))
     rows = documents(spark, sf_dir)
     lang = {r["doc_id"]: r for r in Q["op5_language_id"](spark, sf_dir).collect()}
-    rows = [r for r in rows if lang[r["doc_id"]]["lang_pred"] != "und" and lang[r["doc_id"]]["score"] >= 0.5]
+    rows = [r for r in rows if lang[r["doc_id"]]["lang_pred"] != "und" and lang[r["doc_id"]]["score"] >= corpus_pipeline.LEAST_SCORE]
     comp = brute_components([(r["doc_id"], r["text"]) for r in rows])
     rows = [r for r in rows if comp[r["doc_id"]] == r["doc_id"]]
     items = [decontam.normal(r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
