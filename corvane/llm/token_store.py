@@ -14,11 +14,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .common import delete, mix, scratch, shards, sliced, staged
-from .encoding import REMEMBERED, TOGETHER, default_path, encoder
+from .encoding import REMEMBERED, default_path, encoder
 
 #: Ids under the rolling hash, mean chunk (a power of two), longest chunk, ids of one segment of recipes.
 WINDOW, MEAN_CHUNK, MOST_CHUNK, SEGMENT_IDS = 16, 512, 4096, 1 << 27
@@ -171,11 +172,11 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         for batch in sliced(batches):
             size, root, hashes, chunks = [], [], [], []
-            texts = batch.column(1).to_pylist()
-            for first in range(0, len(texts), TOGETHER):
-                datas = [d + end for d in enc.encode([t or "" for t in texts[first : first + TOGETHER]])]
-                sizes = [len(d) // enc.width for d in datas]
-                for data, n, at in zip(datas, sizes, cuts_of(sizes, np.frombuffer(b"".join(datas), enc.dtype)), strict=True):
+            for ids in enc.encoded(batch.column(1)):
+                datas = pc.binary_join_element_wise(ids, end, b"")
+                sizes = (pc.binary_length(datas).to_numpy() // enc.width).tolist()
+                flat = np.frombuffer(datas.buffers()[2], enc.dtype, sum(sizes))
+                for data, n, at in zip(datas.to_pylist(), sizes, cuts_of(sizes, flat), strict=True):
                     own = [data[a * enc.width : b * enc.width] for a, b in zip([0, *at], at, strict=False)]
                     size.append(n)
                     hashes.append([digest(c) for c in own])

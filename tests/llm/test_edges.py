@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -435,6 +436,19 @@ def test_encoder_on_odd_white_space():
     assert enc.encode(texts) == plain.encode(texts)
 
 
+def test_encoder_looks_up_each_word_once_without_its_marks(monkeypatch):
+    enc, plain = encoding.Encoder(encoding.default_path(), 3), encoding.Encoder(encoding.default_path())
+    plain.by_word = False
+    asked = []
+    monkeypatch.setattr(enc, "_found", lambda names, found=enc._found: asked.append(sorted(names)) or found(names))
+    texts = ["one two, two. two\ntwo; two,,", "", "two! one", "\n", "one  two", " two", "é, × ×, don't' ))"]
+    assert enc.encode(texts) == plain.encode(texts)
+    assert asked == [sorted(["\none", "two", "\ntwo", "\n", "one", "\né", "×", "×,", "don't", "))"])]
+    monkeypatch.setattr(encoding, "GROUP_BYTES", 5)
+    column = pa.array(["x", None, *texts, None]).slice(1)
+    assert [x for ids in enc.encoded(column) for x in ids.to_pylist()] == plain.encode(["", *texts, ""])
+
+
 def test_urls(spark):
     rows = [
         (1, "http://a.Example.NET/en/x?q", "a.example.net", "/en/x", "example.net/en/", "allow"), (2, "http://example.net", "example.net", "", None, "allow"), (3, "http://NET/", "net", "/", "net/", "block"),
