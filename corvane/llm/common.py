@@ -14,6 +14,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -179,6 +180,25 @@ class WordCodes:
         return np.frombuffer(b"".join(found), ">u8").astype(np.uint64)
 
 
+def word_numbers(texts: pa.Array | pa.ChunkedArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words `[^\\x20\\x09-\\x0D]+` of a column of texts, the number among them of each word of the column, and the place of
+    each text's first word, with the number of words at the end."""
+    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))  # at just these six characters
+    words = lists.flatten()
+    some = pc.greater(pc.binary_length(words), 0)
+    n = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64)
+    words = words.filter(some).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), n[ends]
+
+
+def word_codes(names: pa.Array) -> np.ndarray:
+    """The codes that WordCodes gives these words."""
+    digests = map(xxhash.xxh3_64_digest, names.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist())
+    return np.frombuffer(b"".join(digests), ">u8").astype(np.uint64)
+
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

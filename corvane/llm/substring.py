@@ -6,15 +6,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import repeat
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCodes, byte_words, gram_codes, scratch, staged
+from .common import WordCodes, byte_words, gram_codes, scratch, staged, word_codes, word_numbers
 from .parts import MOST_TASKS, code_lists, dealt, pack, read_part
 
 #: Words in a window, and in the phrase that stands for it: the one of least hash among the window's phrases.
@@ -77,41 +77,60 @@ def member(x: np.ndarray, names: np.ndarray) -> np.ndarray:
     return names[np.minimum(np.searchsorted(names, x), len(names) - 1)] == x
 
 
-def sha(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
-
-
 class PhraseAutomaton:
-    """An automaton over word numbers for whole phrases; words that no phrase has are number 0."""
+    """An automaton over the numbers of words, which are those of a part's distinct words, for whole phrases; phrases with other words, which can't
+    occur in the part, are left out."""
 
-    def __init__(self, phrases: list[list[bytes]]):
-        self.words: dict[bytes, int] = {}
+    def __init__(self, names: pa.Array, phrases: pa.Array | pa.ChunkedArray):
+        self.known, self.shortest = np.zeros(len(names), bool), 0
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for words in phrases:
-            self.automaton.add_word(tuple([self.words.setdefault(w, len(self.words) + 1) for w in words]), len(words))
-        if phrases:
+        own, numbers, first = word_numbers(phrases)
+        numbers = pc.index_in(own, value_set=names).fill_null(-1).to_numpy()[numbers]
+        there = np.concatenate([[0], np.cumsum(numbers < 0)])[first]
+        there = np.flatnonzero((there[1:] == there[:-1]) & (first[1:] > first[:-1]))
+        if len(there):
+            starts, ends = first[there], first[there + 1]
+            self.shortest = int((ends - starts).min())
+            flat = numbers.tolist()
+            for x, y in zip(starts.tolist(), ends.tolist(), strict=True):
+                self.automaton.add_word(tuple(flat[x:y]), y - x)
+            inside = np.zeros(len(numbers) + 1, np.int64)
+            np.add.at(inside, starts, 1)
+            np.add.at(inside, ends, -1)
+            self.known[numbers[np.cumsum(inside[:-1]) > 0]] = True
             self.automaton.make_automaton()
 
-    def covered(self, words: list[bytes]) -> np.ndarray | None:
-        """Which words lie in an occurrence of a phrase; None if none does."""
-        if not self.words:
-            return None
-        edge = None
-        for end, n in self.automaton.iter(tuple(map(self.words.get, words, repeat(0)))):
-            if edge is None:
-                edge = np.zeros(len(words) + 1, np.int64)
-            edge[end - n + 1] += 1
-            edge[end + 1] -= 1
-        return None if edge is None else np.cumsum(edge[:-1]) > 0
+    def covered(self, numbers: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Which words of texts, given as word_numbers does, lie in an occurrence of a phrase.
+
+        A word that no phrase has, and the end of a text, take the automaton back to its root, so the stream is cut there, and pieces shorter than
+        any phrase are passed over."""
+        edge = np.zeros(len(numbers) + 1, np.int64)
+        if not self.shortest or not len(numbers):
+            return edge[:-1] > 0
+        known = self.known[numbers]
+        begin = known.copy()
+        begin[1:] &= ~known[:-1]
+        heads = first[:-1][first[:-1] < len(numbers)]
+        begin[heads] = known[heads]
+        last = known.copy()
+        last[:-1] &= ~known[1:] | begin[1:]
+        starts, ends = np.flatnonzero(begin), np.flatnonzero(last) + 1
+        long = ends - starts >= self.shortest
+        for x, y in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
+            for end, n in self.automaton.iter(tuple(numbers[x:y].tolist())):
+                edge[x + end - n + 1] += 1
+                edge[x + end + 1] -= 1
+        return np.cumsum(edge[:-1]) > 0
 
 
 def describer(window: int):
     """Word counts and anchors of texts."""
-    codes = WordCodes()
 
     def describe(texts: list[str | None]) -> tuple[list[int], list[np.ndarray]]:
-        words = [byte_words(t) for t in texts]
-        return [len(w) for w in words], [suspects(codes(w), window) if len(w) >= window else np.empty(0, np.uint64) for w in words]
+        names, numbers, first = word_numbers(pa.array(texts, pa.large_string()))
+        codes, at = word_codes(names)[numbers], first.tolist()
+        return np.diff(first).tolist(), [suspects(codes[x:y], window) if y - x >= window else np.empty(0, np.uint64) for x, y in zip(at, at[1:], strict=False)]
 
     return describe
 
@@ -125,9 +144,10 @@ def suspect_windows(part: pa.Table, p: int, hits: np.ndarray, window: int) -> li
     some = some[first[1:]] > some[first[:-1]]
     n = part["n"].to_numpy()
     starts = np.cumsum(n) - n
-    codes, out = WordCodes(), []
-    for i in np.flatnonzero(some).tolist():
-        c = codes(byte_words(part["text"][i].as_py()))
+    names, numbers, edges = word_numbers(part["text"].filter(pa.array(some)))
+    codes, edges, out = word_codes(names)[numbers], edges.tolist(), []
+    for k, i in enumerate(np.flatnonzero(some).tolist()):
+        c = codes[edges[k] : edges[k + 1]]
         anchor, _ = anchors(c, window)
         at = np.flatnonzero(member(anchor, hits))
         if len(at):
@@ -167,18 +187,15 @@ def passages(part: pa.Table, places: np.ndarray, before: np.ndarray, after: np.n
     return out
 
 
-def cleaned(ids: list, texts: list, phrases: list[str], with_text: bool) -> pa.Table:
+def cleaned(ids: pa.Array, texts: pa.Array, phrases: pa.Array, with_text: bool) -> pa.Table:
     """What is left of a part's texts when the automaton of these phrases has gone over all of them."""
-    auto, out = PhraseAutomaton([byte_words(p) for p in phrases]), []
-    for i, text in zip(ids, texts, strict=True):
-        kept = words = byte_words(text)
-        gone = auto.covered(words)
-        if gone is not None:
-            kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-        out.append((i, len(words), len(words) - len(kept), sha(kept), b" ".join(kept).decode("utf-8", "surrogatepass") if with_text else None))
-    cols = list(zip(*out, strict=True)) or [[]] * 5
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+    names, numbers, first = word_numbers(texts)
+    left = ~PhraseAutomaton(names, phrases).covered(numbers, first)
+    ends = np.concatenate([[0], np.cumsum(left)])[first]
+    kept = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names.take(pa.array(numbers[left]))), pa.scalar(" ", pa.large_string()))
+    sha = pa.array([hashlib.sha256(t).hexdigest() for t in kept.cast(pa.large_binary()).to_pylist()], pa.string())
+    cols = [ids, pa.array(np.diff(first), pa.int64()), pa.array(np.diff(first) - np.diff(ends), pa.int64()), sha, kept.cast(pa.string()) if with_text else pa.nulls(len(sha), pa.string())]
+    return pa.table(cols, names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
 def confirmed(docs: DataFrame, path: str, window: int = WINDOW) -> tuple[DataFrame, DataFrame, int]:
@@ -235,9 +252,9 @@ def located(files: DataFrame, routed: DataFrame, path: str, n_parts: int, with_t
 
     def clean(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return cleaned([], [], [], with_text)
+            return cleaned(pa.array([], pa.int64()), *[pa.array([], pa.string())] * 2, with_text)
         part = read_part(path, left["file"][0].as_py(), ["doc_id", "text"])
-        return cleaned(part["doc_id"].to_pylist(), part["text"].to_pylist(), right["words"].to_pylist(), with_text)
+        return cleaned(part["doc_id"], part["text"], right["words"], with_text)
 
     kinds = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     out = dealt(files, n_parts).groupBy("p").cogroup(dealt(routed, n_parts).groupBy("p")).applyInArrow(clean, kinds)

@@ -462,6 +462,38 @@ def test_urls(spark):
     assert {r["verdict"] for r in url_rules.filter_urls(pages, [], "block").collect()} == {"block"}
 
 
+def test_words_of_a_column():
+    rnd = random.Random(4)
+    bits = ["a", "b", "é", "\u00a0", "\u3000", "\x1c", "\x85", "\x00", *" \t\n\v\f\r"]
+    texts = [None, "", *("".join(rnd.choice(bits) for _ in range(rnd.randrange(9))) for _ in range(500))]
+    for column in (pa.array(texts), pa.chunked_array([texts[:7], texts[7:]], pa.large_string()), pa.array(texts).slice(300)):
+        names, numbers, first = common.word_numbers(column)
+        want = [common.byte_words(t) for t in column.to_pylist()]
+        words = [w.encode() for w in names.take(pa.array(numbers)).to_pylist()]
+        assert [words[a:b] for a, b in zip(first, first[1:], strict=False)] == want and len(set(names.to_pylist())) == len(names)
+        assert common.word_codes(names)[numbers].tolist() == common.WordCodes()(sum(want, [])).tolist()
+    assert [len(x) for x in common.word_numbers(pa.array([], pa.string()))] == [0, 0, 1]
+
+
+def test_automaton_passes_over_pieces_that_hold_no_phrase():
+    """Pieces between words that no phrase has, and texts, are shorter than any phrase or go through the automaton whole."""
+    rnd = random.Random(5)
+    for _ in range(30):
+        texts = ["".join(rnd.choice("abcdx") + " " for _ in range(rnd.randrange(30))) for _ in range(20)]
+        phrases = ["".join(rnd.choice("abcdy") + " " for _ in range(rnd.randrange(3, 6))) for _ in range(12)]
+        names, numbers, first = common.word_numbers(pa.array(texts))
+        auto = substring.PhraseAutomaton(names, pa.array(phrases))
+        inner, seen = auto.automaton, []
+        auto.automaton = type("A", (), {"iter": lambda self, x: seen.append(len(x)) or inner.iter(x)})()
+        want = []
+        for words, ps in ((t.split(), [p.split() for p in phrases]) for t in texts):
+            hit = [any(words[i : i + len(p)] == p and i <= k < i + len(p) for p in ps for i in range(len(words))) for k in range(len(words))]
+            want += hit
+        assert auto.covered(numbers, first).tolist() == want
+        assert all(n >= 3 for n in seen) and sum(seen) < len(numbers)
+    assert not substring.PhraseAutomaton(names, pa.array([], pa.string())).covered(numbers, first).any()
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_urls_by_brute_force(spark, seed):
     rnd = random.Random(seed)
